@@ -168,12 +168,12 @@ def shared_spans(df: DataFrame, id_col: str, text_col: str, min_chars: int = MIN
                     owner = np.repeat(doc[which], count)
                     at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
                     there = np.unique(text.start[owner] + at)
-                    if value == 2:
-                        there = there[~sure[there]]
+                    # what a factor of another anchor covers is known to be shared, and neighbours may ask for it
+                    worth = np.where(sure[there], 1, value)
                     owner = np.searchsorted(text.start, there, side="right") - 1
                     # equal starts of empty texts: the last one is the text with characters
                     at = there - text.start[owner]
-                    rows.append((owner, at, at + min_chars, text.hash(there, there + min_chars), np.full(len(there), value, np.int64)))
+                    rows.append((owner, at, at + min_chars, text.hash(there, there + min_chars), worth))
                 doc, start, end, gram, value = (np.concatenate(x) for x in zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc)), _long(start), _long(end), _long(gram), _long(value)], ["id", "start", "stop", "gram", "state"])
 
