@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from terralume.functions.instants import parse_instant
 from terralume.functions.usable import source_name, usable_amount, usable_count, usable_text, usable_zip
-from terralume.llm import byte_bpe, mixing, shared_spans, survivorship
+from terralume.llm import address_match, byte_bpe, canonical_values, entity_match, mixing, shared_spans, survivorship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +62,47 @@ def p1_records(spark: SparkSession, directory: str) -> DataFrame:
     return best.select("canonical_property_id", F.col("n_rows").alias("listings_count"), *fields)
 
 
+# -- 2: same address written differently --------------------------------------
+def p2_found(spark: SparkSession, directory: str) -> DataFrame:
+    return address_match.same_addresses(_read(spark, directory, "listings"), "listing_id", "street", "address", "neighbourhood", "city")
+
+
+# -- 3: matching entities across sources ---------------------------------------
+def _matched(spark: SparkSession, directory: str) -> DataFrame:
+    fields = ["area_m2", "bedrooms", "bathrooms", "suites", "floor", "condominium_name", "property_type", "lat", "lon"]
+    return entity_match.match_entities(_read(spark, directory, "listings"), {f: _usable(f) for f in fields})
+
+
+def p3_found(spark: SparkSession, directory: str) -> DataFrame:
+    return _matched(spark, directory).select("listing_id_a", "listing_id_b")
+
+
+def p3_confidence(spark: SparkSession, directory: str) -> DataFrame:
+    """The same pairs with their confidence."""
+    return _matched(spark, directory)
+
+
+# -- 4: mapping typed towns to the reference list -----------------------------
+def _mapped_towns(spark: SparkSession, directory: str) -> tuple[DataFrame, DataFrame]:
+    towns = _read(spark, directory, "cepaberto")
+    unique = canonical_values.exact_names(towns, "nome_municipio", "id_municipio").select(F.col("nome_municipio").alias("city"))
+    rows = _read(spark, directory, "listings").select("listing_id", "city", "state").where(F.col("city").rlike(r"\S")).join(unique, "city", "left_anti")
+    return rows, canonical_values.map_to_reference(rows, "city", "state", towns, "nome_municipio", "id_municipio", "sigla_uf")
+
+
+def p4_found(spark: SparkSession, directory: str) -> DataFrame:
+    rows, mapped = _mapped_towns(spark, directory)
+    same = (rows["city"] == mapped["city"]) & rows["state"].eqNullSafe(mapped["state"])
+    return rows.join(mapped, same).select(rows["listing_id"], mapped["id_municipio"])
+
+
+def p4_unmatched(spark: SparkSession, directory: str) -> DataFrame:
+    """Typed values that are no town of the reference list, with their rows."""
+    rows, mapped = _mapped_towns(spark, directory)
+    none = mapped.where("id_municipio = ''").select("city").dropDuplicates()
+    return rows.join(none, "city", "left_semi").groupBy("city").agg(F.count("*").alias("n_rows"))
+
+
 # -- 7: encoding of the whole corpus ------------------------------------------
 def p7_ids(spark: SparkSession, directory: str) -> DataFrame:
     return byte_bpe.encode_column(_read(spark, directory, "documents"), "doc_id", "text")
@@ -95,6 +136,9 @@ def p9_portions(spark: SparkSession, directory: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "p1_found": p1_found, "p1_records": p1_records,
+        "p2_found": p2_found,
+        "p3_found": p3_found, "p3_confidence": p3_confidence,
+        "p4_found": p4_found, "p4_unmatched": p4_unmatched,
         "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares,
         "p9_found": p9_found, "p9_portions": p9_portions,
     }
