@@ -146,8 +146,8 @@ def locate_in_regions(points: DataFrame, id_col: str, x: str, y: str, regions: D
                     open_ = low < high
                     low, high = np.where(open_ & (at <= px[who]), probe + 1, low), np.where(open_ & (at > px[who]), probe, high)
                 hit = who[low % 2 == 1]
-                out.append(pd.DataFrame({"id": ids[hit], "region": [region] * len(hit)}))
-        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"id": ids[:0], "region": []})
+                out.append(pd.DataFrame({"id": ids[hit], "region": pd.Series([region] * len(hit), dtype=object)}))
+        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"id": ids[:0], "region": pd.Series([], dtype=object)})
 
     where = pts.withColumn("slab", F.floor(F.col("y") / slab))
     # points of one slab go to several tasks; the edges of a slab go to each
