@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terralume.functions.instants import parse_instant
-from terralume.functions.usable import source_name, usable_amount, usable_count, usable_text, usable_zip
+from terralume.functions.usable import PLACEHOLDER_WORDS, source_name, usable_amount, usable_count, usable_text, usable_zip
 from terralume.llm import address_match, byte_bpe, canonical_values, entity_match, mixing, shared_spans, survivorship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,5 +144,34 @@ def queries() -> dict[str, Query]:
     }
 
 
+_WORDS = ", ".join("'" + w.replace("'", "''") + "'" for w in PLACEHOLDER_WORDS)
+_TEXT = r"""coalesce(length({w}) > 0 and {w} not in (""" + _WORDS + r""") and not regexp_full_match({w}, 'x{{2,}}|z{{2,}}'), false)"""
+_BARE = r"regexp_replace(strip_accents(lower({c})), '^[^\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+$', '', 'g')"
+_AMOUNT = r"coalesce({c} > 1 and length(replace({c}::varchar, left({c}::varchar, 1), '')) > 0 and {c}::varchar not in ('12345','123456','1234567','12345678','123456789','1234567890'), false) or coalesce({c} > 1 and {c} < 10000 and length(replace({c}::varchar, left({c}::varchar, 1), '')) = 0, false)"
+
+
+def _usable_sql(field: str) -> str:
+    if field == "zip_code":
+        return r"coalesce(regexp_full_match(regexp_replace(zip_code, '[\s.\-]', '', 'g'), '\d{8}') and length(replace(regexp_replace(zip_code, '[\s.\-]', '', 'g'), left(zip_code, 1), '')) > 0, false)"
+    if field == "parking_spots":
+        return "coalesce(parking_spots between 0 and 50, false)"
+    if field.endswith("_brl"):
+        return _AMOUNT.format(c=field)
+    return _TEXT.format(w=_BARE.format(c=field))
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for what SQL can say: the survivors. The rest is tested against brute force, a public library or held-out cases."""
+    flags = ", ".join(f"({_usable_sql(f)}) as u_{f}" for f in FOUND_FIELDS)
+    many = " + ".join(f"u_{f}::int" for f in FOUND_FIELDS)
+    picked = " union all ".join(f"select canonical_property_id, '{f}' field_name, first(listing_id order by ts desc nulls last, rk, many desc, listing_id) listing_id from ranked where u_{f} group by 1" for f in FOUND_FIELDS)
+    instant = r"""case when regexp_full_match(s, '\d{1,11}') then cast(s as bigint) * 1000000
+        when regexp_matches(s, '^\d{2}/') then epoch_us(try_strptime(s, '%d/%m/%Y %H:%M:%S')) + 10800000000
+        when regexp_matches(s, '(Z|[+-]\d{2}:\d{2})$') and regexp_matches(s, '^\d{4}-\d{2}-\d{2}T') then epoch_us(try_cast(left(regexp_replace(s, '(Z|[+-]\d{2}:\d{2})$', ''), 26) as timestamp)) - case when s like '%Z' then 0 else (case when regexp_matches(s, '-\d{2}:\d{2}$') then -1 else 1 end) * (cast(left(right(s, 5), 2) as bigint) * 60 + cast(right(s, 2) as bigint)) * 60000000 end
+        when regexp_matches(s, '^\d{4}-\d{2}-\d{2}[ T]') then epoch_us(try_cast(s as timestamp)) + 10800000000 end"""
+    found = f"""
+        with l as (select *, trim(scraped_at) s, nullif(lower(trim(source)), '') src, {flags} from listings where canonical_property_id is not null),
+        timed as (select l.*, {instant} ts, {many} many, case when src is null then 99 else coalesce(t.trust_rank, 98) end rk from l left join source_trust t on l.src = lower(trim(t.source))),
+        ranked as (select * from (select *, count(*) over (partition by canonical_property_id) n from timed) where n > 1)
+        {picked}"""
+    return {"p1_found": found}
