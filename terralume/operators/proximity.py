@@ -106,7 +106,7 @@ def pairs_within(df: DataFrame, id_col: str, lat: str, lon: str, metres: float)
     return found.toDF(f"{id_col}_a", f"{id_col}_b", "metres")
 
 
-def locate_in_regions(points: DataFrame, id_col: str, x: str, y: str, regions: DataFrame, region_col: str, ring: str, slab: float = 0.05) -> DataFrame:
+def locate_in_regions(points: DataFrame, id_col: str, x: str, y: str, regions: DataFrame, region_col: str, ring: str, slab: float = 0.5, parts: int = 8) -> DataFrame:
     """``(id_col, region_col)``: the regions that contain each point, by trapezoidal decomposition.
 
     ``ring`` is an array of ``struct<x double, y double>``, a simple polygon without its last side. Boundaries
@@ -150,8 +150,7 @@ def locate_in_regions(points: DataFrame, id_col: str, x: str, y: str, regions: D
         return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"id": ids[:0], "region": pd.Series([], dtype=object)})
 
     where = pts.withColumn("slab", F.floor(F.col("y") / slab))
-    # points of one slab go to several tasks; the edges of a slab go to each
-    parts = 8
+    # points of one slab go to ``parts`` groups, however they crowd; the edges of a slab go to each
     salted = where.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)))
     copies = cut_edges.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     found = salted.groupBy("slab", "part").cogroup(copies.groupBy("slab", "part")).applyInPandas(inside, f"id {id_kind}, region {region_kind}")

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terralume.functions.scalars import point
 from terralume.functions.usable import source_name
 from terralume.operators.history import version_history
-from terralume.operators.proximity import pairs_within
+from terralume.operators.proximity import locate_in_regions, pairs_within, usable_point
 
 
 def _history(spark: SparkSession, directory: str) -> DataFrame:
@@ -28,9 +29,23 @@ def p6_found(spark: SparkSession, directory: str) -> DataFrame:
     return pairs_within(spark.read.parquet(f"{directory}/zipcode_enrichment.parquet"), "enrichment_id", "lat", "lon", 150.0).select("enrichment_id_a", "enrichment_id_b")
 
 
-QUERIES = {"p5_found": p5_found, "p5_history": p5_history, "p6_found": p6_found}
+def p6_regions(spark: SparkSession, directory: str) -> DataFrame:
+    """The surroundings of towns (diamonds of 0.05 degrees around the mean of a town's points) that each point lies in."""
+    lat, lon = point(F.col("centroide"))
+    towns = spark.read.parquet(f"{directory}/cepaberto.parquet").where(F.col("id_municipio").rlike(r"\S")).groupBy("id_municipio").agg(F.avg(lat).alias("lat"), F.avg(lon).alias("lon")).where("lat is not null")
+    corners = [F.struct((F.col("lon") + dx).alias("x"), (F.col("lat") + dy).alias("y")) for dx, dy in ((0.05, 0), (0, 0.05), (-0.05, 0), (0, -0.05))]
+    points = spark.read.parquet(f"{directory}/zipcode_enrichment.parquet").where(usable_point(F.col("lat"), F.col("lon")))
+    return locate_in_regions(points, "enrichment_id", "lon", "lat", towns.withColumn("ring", F.array(*corners)), "id_municipio", "ring")
+
+
+QUERIES = {"p5_found": p5_found, "p5_history": p5_history, "p6_found": p6_found, "p6_regions": p6_regions}
 
 ORACLES = {
+    "p6_regions": r"""
+        with t as (select id_municipio, avg(try_cast(regexp_extract(centroide, 'POINT\s*\(\s*(-?\d+(?:\.\d+)?)\s+(-?\d+(?:\.\d+)?)\s*\)', 2) as double)) y, avg(try_cast(regexp_extract(centroide, 'POINT\s*\(\s*(-?\d+(?:\.\d+)?)\s+(-?\d+(?:\.\d+)?)\s*\)', 1) as double)) x
+            from cepaberto where trim(id_municipio) <> '' group by 1)
+        select distinct enrichment_id, id_municipio from zipcode_enrichment z join t on abs(z.lat - t.y) + abs(z.lon - t.x) < 0.05
+        where z.lat between -90 and 90 and z.lon between -180 and 180 and not isnan(z.lat) and not isnan(z.lon) and not (z.lat = 0 and z.lon = 0)""",
     "p5_found": """
         with one as (
             select lower(trim(source)) source, business_type, property_id, last_seen_at, price,
