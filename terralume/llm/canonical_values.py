@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from terralume.functions.lineage import cut
 from terralume.functions.places import STATE_PATTERN, plain, state_code
+from terralume.functions.usable import usable_text
 
 #: Abbreviations in names of towns and what they can stand for.
 ABBREVIATIONS = {
@@ -53,20 +54,24 @@ def repair_tokens(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
     By edit distance (two edits from six letters, one from four, and one more from eight, as two letters that change
     places count twice; joined on shortened forms, never crossed),
-    by abbreviation, or as a cut-off beginning of at least two letters.
+    by abbreviation, or as a cut-off beginning.
     """
     left = tokens.where(F.length("token").between(1, 40))
     words = vocabulary.where(F.length("word").between(1, 40))
     typed = left.withColumn("form", F.explode(shortened(F.col("token"), edits_allowed(F.col("token")))))
     known = words.withColumn("form", F.explode(shortened(F.col("word"), edits_allowed(F.col("word")))))
-    close = typed.join(known, "form").select("token", "word").dropDuplicates()
+    # estimates don't see how much longer exploded sides are, so neither may be broadcast on their word
+    close = typed.hint("merge").join(known.hint("merge"), "form").select("token", "word").dropDuplicates()
     distance = F.levenshtein("token", "word")
     longer = F.greatest(F.length("token"), F.length("word"))
     allowed = F.greatest(edits_allowed(F.col("token")), edits_allowed(F.col("word"))) + (longer >= 8).cast("int")
-    edited = close.withColumn("edits", distance).where(F.col("edits") <= allowed).withColumn("likeness", 1 - F.col("edits") * 0.6 / longer).drop("edits")
+    letters = lambda c: F.array_sort(F.split(c, ""))
+    # of the same letters in another order each two edits are one change of places
+    moved = F.when(letters("token") == letters("word"), F.ceil(distance / 2)).otherwise(distance)
+    edited = close.withColumn("edits", moved).where(F.col("edits") <= allowed).withColumn("likeness", 1 - F.col("edits") * 0.6 / longer).drop("edits")
     short = F.create_map(*[x for k, v in ABBREVIATIONS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
     spelled = left.withColumn("word", F.explode(F.try_element_at(short, F.col("token")))).join(words.select("word"), "word", "left_semi").select("token", "word", F.lit(0.97).alias("likeness"))
-    begun = words.where(F.length("word") >= 3).withColumn("token", F.explode(F.transform(F.sequence(F.lit(2), F.length("word") - 1), lambda n: F.left(F.col("word"), n))))
+    begun = words.where(F.length("word") >= 3).withColumn("token", F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda n: F.left(F.col("word"), n))))
     cut_off = left.join(begun, "token").select("token", "word", (0.85 + 0.1 * F.length("token") / F.length("word")).alias("likeness"))
     return edited.unionByName(spelled).unionByName(cut_off).groupBy("token", "word").agg(F.max("likeness").alias("likeness"))
 
@@ -80,7 +85,7 @@ def map_to_reference(values: DataFrame, value: str, state: str, reference: DataF
     the one in the value's state wins (state column, else the state written behind the town), else the smallest id. Ties of
     scores go to more words in full, then to the smaller name.
 
-    Blank values are left out. A null state is unknown. Reference rows without id are passed over, repeated rows count once. An
+    Blank values are left out, placeholders (``n/d``) stand for no entry. A null state is unknown. Reference rows without id are passed over, repeated rows count once. An
     empty reference leaves every value unmatched.
     """
     asked = values.select(F.col(value).alias("value"), F.col(state).alias("state")).where(F.col("value").rlike(r"\S")).dropDuplicates()
@@ -93,7 +98,7 @@ def map_to_reference(values: DataFrame, value: str, state: str, reference: DataF
     weighted = cut(vocabulary.join(F.broadcast(total)).select("word", weight.alias("w")))
     in_entry = listed.select("entry", F.explode(F.array_distinct("words")).alias("word")).join(weighted, "word")
     profile = in_entry.groupBy("entry").agg(F.collect_list(F.struct("word", "w")).alias("words"), F.sqrt(F.sum(F.col("w") ** 2)).alias("norm"), F.max_by("word", F.struct("w", "word")).alias("rarest"))
-    forms = cut(asked.select("value").dropDuplicates().withColumn("form", clean_town(F.col("value"))).where("form <> ''"))
+    forms = cut(asked.select("value").dropDuplicates().where(usable_text(F.col("value"))).withColumn("form", clean_town(F.col("value"))).where("form <> ''"))
     distinct_forms = forms.select("form").dropDuplicates()
     parts = distinct_forms.select("form", F.explode(F.array_distinct(F.split("form", " "))).alias("token"))
     repairs = cut(repair_tokens(parts.select("token").dropDuplicates(), weighted.select("word")))
