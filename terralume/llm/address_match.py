@@ -186,7 +186,11 @@ def parse_rows(df: DataFrame, row_id: str, street: str, address: str, neighbourh
 
 
 def candidate_pairs(forms: DataFrame) -> DataFrame:
-    """``(a, b)``, each once: forms that share a band. ``forms`` has ``form``, ``name``, ``number``."""
+    """``(a, b)``, each once: forms that share a band. ``forms`` has ``form``, ``name``, ``number``.
+
+    Rows are not in here: a bucket holds the distinct spellings of like street names with one house number, and copies of a
+    building, however many, are one form.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
