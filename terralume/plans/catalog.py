@@ -361,6 +361,16 @@ def html_text(spark, directory):
     return d.select("doc_id", F.nullif(F.regexp_extract(html, "<title>([^<]*)</title>", 1), F.lit("")).alias("title"), F.length(S.strip_tags(html)).cast("bigint").alias("n_text"))
 
 
+@query(r"""with h as (select doc_id, '<html><head><title>' || coalesce(source, '') || '</title></head><body><p class="a">' || coalesce(replace(text, '<', ' '), '') || '</p> <b>' || doc_id::varchar || '</b></body></html>' html from documents)
+    select doc_id, nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') title, length(trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))) as n_text from h""")
+def html_text_whole(spark, directory):
+    """Every document with its whole text: a null text is an empty paragraph, a null source a page without title."""
+    d = _t(spark, directory, "documents")
+    empty = F.lit("")
+    html = F.concat(F.lit("<html><head><title>"), F.coalesce("source", empty), F.lit('</title></head><body><p class="a">'), F.coalesce(F.replace("text", F.lit("<"), F.lit(" ")), empty), F.lit("</p> <b>"), F.col("doc_id").cast("string"), F.lit("</b></body></html>"))
+    return d.select("doc_id", F.nullif(F.regexp_extract(html, "<title>([^<]*)</title>", 1), empty).alias("title"), F.length(S.strip_tags(html)).cast("bigint").alias("n_text"))
+
+
 # -- JSON -----------------------------------------------------------------------------------
 @query("""select event_type, sum(try_cast(json_extract_string(props, '$.k') as bigint))::bigint total, count(json_extract_string(props, '$.missing')) missing from events group by 1""")
 def json_props(spark, directory):
