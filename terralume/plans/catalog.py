@@ -190,6 +190,32 @@ def upsert_counts(spark, directory):
     return incremental.upsert_counts(*_stores(spark, directory), snapshot.UPSERT_KEY)
 
 
+def _whole_stores(spark, directory):
+    """All rows split by one date: before it they are in the store, from it on (or without a date) they come in."""
+    rows = _t(spark, directory, "listings_unificados").select("row_id", "source", "business_type", "property_id", "price", F.col("last_seen_at").alias("scraped_at"))
+    early = F.coalesce(F.col("scraped_at") < F.lit("2026-02-01").cast("timestamp_ntz"), F.lit(False))
+    old = rows.where(early).withColumns({"first_seen_at": F.lit("2026-01-01").cast("timestamp"), "created_at": F.lit("2026-01-01").cast("timestamp"), "last_seen_at": F.lit("2026-02-01").cast("timestamp"), "updated_at": F.lit("2026-02-01").cast("timestamp")})
+    return old, rows.where(~early)
+
+
+_SPLIT = """with u as (select row_id, coalesce(source,'') s, coalesce(business_type,'') b, coalesce(property_id,'') p, price, last_seen_at a, case when last_seen_at < timestamp '2026-02-01' then 0 else 1 end run from listings_unificados)"""
+
+
+@query(f"""{_SPLIT}, w as (select *, row_number() over (partition by s, b, p order by a desc nulls last, run desc, row_id desc) n, min(run) over (partition by s, b, p) lo from u)
+    select row_id, s as source, b as business_type, p as property_id, price, a as scraped_at, case when lo = 0 then '2026-01-01' else '2026-04-01' end first_seen, case when run = 1 then '2026-04-01' else '2026-02-01' end last_seen from w where n = 1""")
+def upsert_history_whole(spark, directory):
+    old, new = _whole_stores(spark, directory)
+    out = incremental.upsert(old, new, snapshot.UPSERT_KEY, "scraped_at", "row_id", F.lit("2026-04-01").cast("timestamp"))
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    return out.select("row_id", *[F.coalesce(F.col(k), F.lit("")).alias(k) for k in snapshot.UPSERT_KEY], "price", "scraped_at", day("first_seen_at").alias("first_seen"), day("last_seen_at").alias("last_seen"))
+
+
+@query(f"""{_SPLIT}, k as (select s, b, p, min(run) lo, max(run) hi from u group by 1, 2, 3)
+    select count(*) filter (where lo = 1) inserted, count(*) filter (where lo = 0 and hi = 1) updated from k""")
+def upsert_counts_whole(spark, directory):
+    return incremental.upsert_counts(*_whole_stores(spark, directory), snapshot.UPSERT_KEY)
+
+
 _DELTA = """with keyed as (select user_id::varchar || '|' || event_type url, ts, user_id from events),
     prev as (select url, max(cast(ts as date)) lastmod from keyed where ts < timestamp '2024-01-25' and user_id % 10 <> 0 group by 1),
     wm as (select max(lastmod) w from prev), cur as (select url, max(cast(ts as date)) lastmod from keyed where ts < timestamp '2024-01-28' group by 1),

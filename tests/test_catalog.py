@@ -1,5 +1,7 @@
 """Registered queries over small tables, against plain Python."""
 
+import datetime
+
 import __spark_entry__
 
 
@@ -13,3 +15,13 @@ def test_html_text_reads_whole_documents(spark, tmp_path):
     spark.createDataFrame(data, "doc_id bigint, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
     want = [(i, source, len(" ".join(f"{source or ''} {(text or '').replace('<', ' ')} {i}".split()))) for i, source, text in data]
     assert rows(__spark_entry__.queries()["html_text_whole"](spark, str(tmp_path))) == sorted(want, key=repr)
+
+
+def test_upsert_takes_every_row(spark, tmp_path):
+    at = datetime.datetime
+    data = [(7, "olx", "sale", "early", 1.0, at(2025, 9, 1)), (2, "olx", "sale", "both", 2.0, at(2026, 1, 9)), (3, "olx", "sale", "both", 3.0, at(2026, 2, 1)), (4, "olx", "rent", "late", 4.0, at(2028, 2, 1)), (5, None, "", "undated", 5.0, None), (6, "", None, "undated", 6.0, at(2025, 12, 1))]
+    spark.createDataFrame(data, "row_id bigint, source string, business_type string, property_id string, price double, last_seen_at timestamp_ntz").write.parquet(f"{tmp_path}/listings_unificados.parquet")
+    queries = __spark_entry__.queries()
+    got = {r.property_id: (r.row_id, r.first_seen, r.last_seen) for r in queries["upsert_history_whole"](spark, str(tmp_path)).collect()}
+    assert got == {"early": (7, "2026-01-01", "2026-02-01"), "both": (3, "2026-01-01", "2026-04-01"), "late": (4, "2026-04-01", "2026-04-01"), "undated": (6, "2026-01-01", "2026-02-01")}
+    assert rows(queries["upsert_counts_whole"](spark, str(tmp_path))) == [(1, 2)]
