@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from terralume.functions.lineage import cut
 from terralume.functions.usable import source_name
-from terralume.llm.address_match import _mix, align, same_quarter, same_town, stable_hash
-from terralume.llm.addresses import parse
+from terralume.llm.address_match import _mix, align, band_keys, same_quarter, same_town, stable_hash, substitution
+from terralume.llm.addresses import TITLES, parse
 
 DIM, TABLES, BITS = 32, 4, 4
 #: Advertisements whose walks train the vectors (a sample by hash, the same at every size), walks from each, and steps.
@@ -161,6 +161,65 @@ def block_keys(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"key": key.view(np.int64), "ad": ad, "tag": tag})
 
 
+def street_keys(frame: pd.DataFrame) -> pd.DataFrame:
+    """``key, ad, tag, bare`` of buckets that hold a street without its number; ``tag`` as in ``block_keys``.
+
+    A key holds the name in ``street``, once with bins of the area and once without.
+    """
+    ad, bare = frame["_ad"].to_numpy(), frame["bare"].to_numpy(bool)
+    street = np.array([_cached_hash(x) for x in frame["street"]], np.uint64)
+    src = np.array([_cached_hash(x) & 0xFFFFFFFF for x in frame["_src"]], np.int64)
+    area = frame["area"].to_numpy(np.float64)
+    known = area > 0
+    logs = np.log(np.where(known, area, 1)) / (2 * AREA_TOLERANCE)
+    rows = [(_mix(street ^ np.uint64(31)), ad, src * 4 + ~known, bare)]
+    for shift in (0.0, 0.5):
+        bins = np.floor(logs[known] + shift).astype(np.int64).astype(np.uint64)
+        rows.append((_mix(_mix(street[known]) ^ _mix(bins + np.uint64(5000 if shift else 9000))), ad[known], src[known] * 4 + 2, bare[known]))
+    key, ad, tag, bare = (np.concatenate(x) for x in zip(*rows, strict=True))
+    return pd.DataFrame({"key": key.view(np.int64), "ad": ad, "tag": tag, "bare": bare})
+
+
+def _like_streets(ads: DataFrame) -> DataFrame:
+    """``name, street``: each name of a street that some advertisement gives without a number, and all names that align with it."""
+    names = ads.where("name <> ''").groupBy("name").agg(F.max(F.col("number") == "").alias("bare"))
+
+    def bands(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            keys = [band_keys(tuple(x.split()), "") for x in frame["name"]]
+            yield frame.assign(band=keys).explode("band").astype({"band": np.int64})[["band", "name", "bare"]]
+
+    banded = names.mapInPandas(bands, "band bigint, name string, bare boolean")
+    bare, every = banded.where("bare").select("band", "name"), banded.select("band", F.col("name").alias("street"))
+    close = F.levenshtein("name", "street") <= 0.55 * F.greatest(F.length("name"), F.length("street"))
+
+    def aligned(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            each = frame.drop_duplicates()
+            yield each[[names_agree(*pair) for pair in zip(each["name"], each["street"], strict=True)]]
+
+    return bare.join(every, "band").where(close).select("name", "street").mapInPandas(aligned, "name string, street string").dropDuplicates()
+
+
+def _street_pairs(ads: DataFrame) -> DataFrame:
+    """``ad, other`` of two sources on one street, at least one of them without a house number."""
+    like = cut(_like_streets(ads))
+    narrow = ads.where("name <> ''").select("_ad", "_src", "area", "name", (F.col("number") == "").alias("bare"))
+    asking = narrow.where("bare").join(like, "name").select("_ad", "_src", "area", "street", "bare")
+    asked = narrow.join(like.select(F.col("street").alias("name")).dropDuplicates(), "name", "left_semi").select("_ad", "_src", "area", F.col("name").alias("street"), F.lit(False).alias("bare"))
+
+    def keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                yield street_keys(frame)
+
+    blocks = asking.unionByName(asked).mapInPandas(keys, "key bigint, ad bigint, tag bigint, bare boolean")
+    a, b = blocks.where("bare").alias("a"), blocks.where("not bare").alias("b")
+    first = F.shiftright("a.tag", 2) < F.shiftright("b.tag", 2)
+    across = (F.col("a.key") == F.col("b.key")) & (F.shiftright("a.tag", 2) != F.shiftright("b.tag", 2)) & (F.col("a.tag").bitwiseOR(F.col("b.tag")).bitwiseAND(F.lit(3)) > 0)
+    return a.join(b, across).select(F.when(first, F.col("a.ad")).otherwise(F.col("b.ad")).alias("ad"), F.when(first, F.col("b.ad")).otherwise(F.col("a.ad")).alias("other"))
+
+
 # -- comparing ----------------------------------------------------------------
 def plausible() -> F.Column:
     """What built-in expressions can tell of a pair ``x``, ``y`` before names are aligned: kind, number, nearness, and very unlike names."""
@@ -171,7 +230,7 @@ def plausible() -> F.Column:
     length = F.greatest(*[F.length(n) for n in names])
     close = F.levenshtein(*names) <= 0.55 * length
     numbered = ~blank("number") & same("number") & ~blank("name") & close & F.coalesce(near, F.lit(True))
-    unnumbered = blank("number") & F.coalesce(near, F.lit(False)) & (blank("name") | close)
+    unnumbered = blank("number") & F.coalesce(near, ~blank("name")) & (blank("name") | close)
     sized = F.coalesce(F.abs(F.col("x.area") - F.col("y.area")) <= AREA_TOLERANCE * F.greatest("x.area", "y.area"), F.lit(True)) | (~blank("unit") & same("unit"))
     return (blank("kind") | same("kind")) & sized & (numbered | unnumbered)
 
@@ -191,6 +250,23 @@ def evidence(frame: pd.DataFrame) -> np.ndarray:
     return total
 
 
+def names_agree(a: str, b: str) -> bool:
+    """Two names of streets align, whichever comes first."""
+    x, y = tuple(a.split()), tuple(b.split())
+    if a == b:
+        return True
+    if not any(t in TITLES for t in x + y):  # a gap costs more than names may
+        cost = 0.0
+        for p, q in zip(x, y, strict=False):
+            if (cost := cost + substitution(p, q)) > 0.81:
+                return False
+        if len(x) != len(y):
+            return False
+    elif not any(t in TITLES for t in x[-2:] + y[-2:]) and substitution(x[-1], y[-1]) == 1 == substitution(y[-1], x[-1]):
+        return False  # the last words must be one another's
+    return align(x, y) <= 0.8 or align(y, x) <= 0.8
+
+
 def places_agree(a_town: str, a_quarter: str, a_name: str, b_town: str, b_quarter: str, b_name: str) -> bool:
     """Town, neighbourhood and street agree as far as both are known."""
     town = same_town(a_town, b_town)
@@ -238,7 +314,8 @@ def match_entities(df: DataFrame, usable: dict[str, F.Column], least: float = LE
 
     1. a graph of records, attributes and words; random walks on a bounded sample of records train skip-gram vectors;
     2. blocking by ``TABLES`` tables of hyperplane codes of the street's vector, with house number and area bins in the key
-       (coordinates where there is no number), so a bucket is about as large as a dwelling has advertisements;
+       (coordinates where there is no number), so a bucket is about as large as a dwelling has advertisements; one without
+       a number also meets all of like area on its street, under any like name;
     3. exact reranking of each candidate pair: parts of the address by affine-gap alignment, cosine of the whole vectors,
        and what both say of unit, area, rooms and floor as log-odds;
     4. the cosine's part is calibrated by a logistic curve on a bounded sample of candidate pairs.
@@ -293,7 +370,7 @@ def _match(rows: DataFrame, least: float) -> DataFrame:
     a, b = blocks.alias("a"), blocks.alias("b")
     source = lambda side: F.shiftright(f"{side}.tag", 2)
     across = (F.col("a.key") == F.col("b.key")) & (source("a") < source("b")) & (F.col("a.tag").bitwiseOR(F.col("b.tag")).bitwiseAND(F.lit(3)) > 0)
-    pairs = a.join(b, across).select("a.ad", F.col("b.ad").alias("other")).dropDuplicates()
+    pairs = a.join(b, across).select("a.ad", F.col("b.ad").alias("other")).unionByName(_street_pairs(ads)).dropDuplicates()
     sides = [ads.select(F.col("_ad").alias(k), F.struct(*_NAMES).alias(s)) for k, s in (("ad", "x"), ("other", "y"))]
     both = pairs.join(sides[0], "ad").join(sides[1], "other").where(plausible())
     flat = both.select("ad", "other", *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in _NAMES if c not in ("lat", "lon")])

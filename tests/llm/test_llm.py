@@ -79,6 +79,26 @@ def test_entities(spark):
     assert entity_match.match_entities(df.limit(0), usable).count() == 0
 
 
+def test_entities_without_house_number(spark):
+    numbered, bare = "Rua Igarapé Gentil do Bosque, 22", "R. Igarape Gentil do Bosqe"
+    data = [(1, "olx", "a", numbered, "Ratuzinho", 70.0, 2, 1, None, None), (2, "quinto", "b", bare, "Ratuzinho", 71.0, 2, 1, None, None), (3, "lopes", "c", bare, "Ratuzinho", 69.0, 2, 1, -23.5, -46.6), (4, "quinto", "d", bare, "Ratuzinho", 120.0, 2, 1, None, None), (5, "lopes", "e", bare, "Fevonema", 70.0, 2, 1, None, None), (6, "quinto", "f", "Rua Igarapé Gentil do Bosque, 24", "Ratuzinho", 70.0, 2, 1, None, None), (7, "olx", "g", "Rua Garça Sábio do Relógio", "Ratuzinho", 70.0, 2, 1, None, None)]
+    schema = "listing_id bigint, source string, property_id string, street string, city string, area_m2 double, bedrooms bigint, bathrooms bigint, lat double, lon double"
+    df = spark.createDataFrame(data, schema).withColumns({**{c: F.lit(None).cast("string") for c in ("address", "neighbourhood", "condominium_name", "property_type")}, **{c: F.lit(None).cast("bigint") for c in ("suites", "floor")}})
+    usable = {c: F.col(c).isNotNull() for c in ("area_m2", "bedrooms", "bathrooms", "suites", "floor", "condominium_name", "property_type", "lat", "lon")}
+    got = entity_match.match_entities(df, usable).select("listing_id_a", "listing_id_b")
+    assert rows(got) == [(1, 2), (1, 3), (2, 3), (3, 6)]  # numbers, areas and towns that differ still part, once each
+
+
+def test_names_agree_as_their_alignment():
+    rng = random.Random(3)
+    words = ["mercado", "mercdo", "cas", "casa", "bosque", "vale", "c", "doutor", "dr", "padre", "pe"]
+    for _ in range(3000):
+        a = [rng.choice(words) for _ in range(rng.randint(1, 4))]
+        b = [w if rng.random() < 0.7 else rng.choice(words) for w in a] + [rng.choice(words)] * rng.randint(0, 1)
+        want = min(address_match.align(tuple(a), tuple(b)), address_match.align(tuple(b), tuple(a))) <= 0.8
+        assert entity_match.names_agree(" ".join(a), " ".join(b)) == want, (a, b)
+
+
 # -- typed values --------------------------------------------------------------------------------
 def test_towns(spark):
     ref = spark.createDataFrame([("Nova Biibicaba", "1", "MG"), ("Biibicaba", "2", "MG"), ("Fevonema", "3", "RJ"), ("Fevonema", "4", "PB"), ("Santo Antônio do Josotinga", "5", "BA"), ("Ratuzinho", "6", "SP"), ("Ratuzinho", "", "SP"), (None, "9", "SP"), ("Ratuzinho", "6", "SP")], "name string, id string, uf string")
