@@ -248,6 +248,39 @@ def delta_sort(spark, directory):
     return rows.select("url", "lastmod", F.row_number().over(Window.orderBy(*incremental.delta_order("lastmod", "url"))).cast("bigint").alias("place"))
 
 
+_DELTA_WHOLE = """with keyed as (select user_id::varchar || '|' || event_type url, ts from events),
+    prev as (select url, max(cast(ts as date)) lastmod from keyed where ts < timestamp '2024-01-25' group by 1),
+    wm as (select max(lastmod) w from prev), cur as (select url, max(cast(ts as date)) lastmod from keyed group by 1),
+    cl as (select cur.url, cur.lastmod, case when cur.lastmod < w - interval 1 day then 'filtered' when prev.url is null then 'new' when prev.lastmod is distinct from cur.lastmod then 'updated' else 'unchanged' end change
+        from cur left join prev on cur.url = prev.url cross join wm)"""
+
+
+def _classified_whole(spark, directory):
+    """All events against those before a date."""
+    keyed = _t(spark, directory, "events").select(F.concat(F.col("user_id").cast("string"), F.lit("|"), "event_type").alias("url"), F.to_date("ts").alias("lastmod"))
+    state = keyed.where(F.col("lastmod") < "2024-01-25").groupBy("url").agg(F.max("lastmod").alias("previous"))
+    current = keyed.groupBy("url").agg(F.max("lastmod").alias("lastmod")).withColumn("n", F.col("url"))
+    return incremental.classify_delta(current, state, ["url"], "lastmod", F.col("lastmod"), state.agg(F.max("previous").alias("watermark")), "n")
+
+
+@query(_DELTA_WHOLE + " select url, lastmod, change from cl")
+def incremental_delta_whole(spark, directory):
+    return _classified_whole(spark, directory).select("url", "lastmod", "change")
+
+
+@query(_DELTA_WHOLE + " select count(*) filter (where change='new') rows_new, count(*) filter (where change='updated') rows_updated, count(*) filter (where change='unchanged') rows_unchanged, count(*) filter (where change='filtered') rows_filtered from cl")
+def delta_counts_whole(spark, directory):
+    return incremental.change_counts(_classified_whole(spark, directory))
+
+
+@query(_DELTA_WHOLE + " select url, lastmod, row_number() over (order by coalesce(lastmod::varchar,'') desc, url) place from cl where change in ('new','updated')")
+def delta_sort_whole(spark, directory):
+    from pyspark.sql import Window
+
+    rows = incremental.delta(_classified_whole(spark, directory))
+    return rows.select("url", "lastmod", F.row_number().over(Window.orderBy(*incremental.delta_order("lastmod", "url"))).cast("bigint").alias("place"))
+
+
 @query("""with p as (select l_partkey, arg_max(l_quantity, l_orderkey * 10 + l_linenumber) previous from lineitem where l_shipdate < timestamp '1996-01-01' group by 1),
     c as (select l_partkey, arg_min(l_quantity, l_orderkey * 10 + l_linenumber) price from lineitem where l_shipdate >= timestamp '1996-01-01' group by 1)
     select c.l_partkey, price, case when previous is null then 'new' when previous = price then 'same' else 'changed' end change from c left join p on c.l_partkey = p.l_partkey""")

@@ -25,3 +25,13 @@ def test_upsert_takes_every_row(spark, tmp_path):
     got = {r.property_id: (r.row_id, r.first_seen, r.last_seen) for r in queries["upsert_history_whole"](spark, str(tmp_path)).collect()}
     assert got == {"early": (7, "2026-01-01", "2026-02-01"), "both": (3, "2026-01-01", "2026-04-01"), "late": (4, "2026-04-01", "2026-04-01"), "undated": (6, "2026-01-01", "2026-02-01")}
     assert rows(queries["upsert_counts_whole"](spark, str(tmp_path))) == [(1, 2)]
+
+
+def test_delta_takes_every_event(spark, tmp_path):
+    at = datetime.datetime
+    data = [(10, "view", at(2024, 1, 24)), (10, "view", at(2024, 1, 29)), (20, "view", at(2024, 1, 24)), (3, "click", at(2024, 1, 30)), (4, "view", at(2024, 1, 2))]
+    spark.createDataFrame(data, "user_id bigint, event_type string, ts timestamp_ntz").write.parquet(f"{tmp_path}/events.parquet")
+    queries = __spark_entry__.queries()
+    assert rows(queries["incremental_delta_whole"](spark, str(tmp_path)).select("url", "change")) == [("10|view", "updated"), ("20|view", "unchanged"), ("3|click", "new"), ("4|view", "filtered")]
+    assert rows(queries["delta_counts_whole"](spark, str(tmp_path))) == [(1, 1, 1, 1)]
+    assert rows(queries["delta_sort_whole"](spark, str(tmp_path)).select("place", "url")) == [(1, "3|click"), (2, "10|view")]
