@@ -60,13 +60,13 @@ class RollingText:
     """Texts laid end to end with a polynomial hash of any stretch in constant time; positions are code points."""
 
     def __init__(self, texts: list[str]):
-        raw = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
-        self.length = np.array([len(r) for r in raw], np.int64)
+        self.length = np.array([len(t) for t in texts], np.int64)
         self.start = np.concatenate([[0], np.cumsum(self.length)[:-1]]).astype(np.int64) if texts else np.zeros(0, np.int64)
-        chars = _mix(np.concatenate(raw).astype(np.uint64) + np.uint64(1)) if texts else np.zeros(0, np.uint64)
+        chars = _mix(np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1))
         self.total = len(chars)
         self.prefix = np.zeros(self.total + 1, np.uint64)
-        np.cumsum(chars * _power(_BASE, self.total), out=self.prefix[1:])
+        chars *= _power(_BASE, self.total)
+        np.cumsum(chars, out=self.prefix[1:])
         self.inverse = _power(_INVERSE, self.total + 1)
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -80,24 +80,31 @@ def find_anchors(text: RollingText, min_chars: int, k: int) -> tuple[np.ndarray,
     none = np.zeros(0, np.int64)
     if grams < window or not (text.length >= min_chars).any():
         return none, none, none.astype(np.uint64)
-    place = np.arange(grams, dtype=np.int64)
-    value = text.hash(place, place + k)
-    packed = (value & np.uint64(0xFFFFFFFF00000000)) | (np.uint64(0xFFFFFFFF) - place.astype(np.uint64))
-    padded = np.full(-(-grams // window) * window, np.iinfo(np.uint64).max, np.uint64)
-    padded[:grams] = packed
-    blocks = padded.reshape(-1, window)
-    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
-    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    value = (text.prefix[k:] - text.prefix[:grams]) * text.inverse[:grams]  # as text.hash, of every place
+    value = _mix(value)
+    places = np.arange(grams, dtype=np.uint64)
+    # of equal grams of one window the first; least values by blocks of the window's size, from both sides
+    packed = np.full(-(-grams // window) * window, np.iinfo(np.uint64).max, np.uint64)
+    np.bitwise_or(value & np.uint64(0xFFFFFFFF00000000), places, out=packed[:grams])
+    blocks = packed.reshape(-1, window)
+    across = np.ascontiguousarray(blocks.T)  # rows of neighbouring blocks: each step is one vector operation
+    ahead, behind = across.copy(), across
+    for i in range(1, window):
+        np.minimum(ahead[i], ahead[i - 1], out=ahead[i])
+        np.minimum(behind[window - 1 - i], behind[window - i], out=behind[window - 1 - i])
+    ahead, behind = ahead.T.ravel(), behind.T.ravel()
     windows = grams - window + 1
     least = np.minimum(behind[:windows], ahead[window - 1 : window - 1 + windows])
-    owner = np.searchsorted(text.start, np.arange(windows), side="right") - 1
-    inside = np.arange(windows) + min_chars <= text.start[owner] + text.length[owner]
-    chosen = np.unique(np.int64(0xFFFFFFFF) - (least[inside] & np.uint64(0xFFFFFFFF)).astype(np.int64))
+    spread = np.repeat(text.start + text.length, text.length)[:windows]  # where the text of each place ends
+    chosen = (least[np.arange(windows) + min_chars <= spread] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    if not len(chosen):
+        return none, none, none.astype(np.uint64)
+    chosen = chosen[np.concatenate([[True], chosen[1:] != chosen[:-1]])]  # the places of least values never go back
     return np.searchsorted(text.start, chosen, side="right") - 1, chosen, value[chosen]
 
 
 def _pieces(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    sizes = np.cumsum([len(t or "") for t in batch.column(column).to_pylist()])
+    sizes = np.cumsum(pa.compute.fill_null(pa.compute.utf8_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
     at = 0
     while at < batch.num_rows:
         floor = sizes[at - 1] if at else 0
@@ -131,8 +138,8 @@ def _common(matrix: np.ndarray, length: np.ndarray, a: np.ndarray, b: np.ndarray
     return out
 
 
-def _longest(order: np.ndarray, key: np.ndarray, doc: np.ndarray, matrix: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each row the longest beginning that it shares with another document's row of its key, and that row.
+def _longest(order: np.ndarray, key: np.ndarray, doc: np.ndarray, matrix: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each row the longest beginning that it shares with another document's row of its key, and that row; what neighbours share.
 
     ``order`` sorts rows by key and text, so the best partner is the nearest row of another document on one side.
     ``doc`` is -1 for rows that stand in several documents: they are another's to everyone.
@@ -140,7 +147,7 @@ def _longest(order: np.ndarray, key: np.ndarray, doc: np.ndarray, matrix: np.nda
     n = len(order)
     best, partner = np.zeros(n, np.int64), np.full(n, -1, np.int64)
     if n < 2:
-        return best, partner
+        return best, partner, np.zeros(0, np.int64)
     left, right = order[:-1], order[1:]
     adjacent = np.where(key[left] == key[right], _common(matrix, length, left, right), 0)
     same = (doc[left] == doc[right]) & (doc[left] >= 0)
@@ -158,7 +165,7 @@ def _longest(order: np.ndarray, key: np.ndarray, doc: np.ndarray, matrix: np.nda
         reach[who < 0] = 0
         better = reach > best[b]
         best[b], partner[b] = np.where(better, reach, best[b]), np.where(better, who, partner[b])
-    return best, partner
+    return best, partner, adjacent
 
 
 def factors(key: np.ndarray, off: np.ndarray, text: list[str], doc: np.ndarray, min_chars: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -175,8 +182,8 @@ def factors(key: np.ndarray, off: np.ndarray, text: list[str], doc: np.ndarray,
     behind, behind_length = _matrix(back, min_chars)
     to_right = np.array(sorted(range(n), key=lambda i: (key[i], text[i][off[i] :])), np.int64)
     to_left = np.array(sorted(range(n), key=lambda i: (key[i], back[i])), np.int64)
-    r, r_with = _longest(to_right, key, doc, ahead, ahead_length)
-    s, s_with = _longest(to_left, key, doc, behind, behind_length)
+    r, r_with, adjacent = _longest(to_right, key, doc, ahead, ahead_length)
+    s, s_with, _ = _longest(to_left, key, doc, behind, behind_length)
     whole = doc < 0
     r, s = np.where(whole, ahead_length, r), np.where(whole, behind_length, s)
     worth = (r >= k) & (s >= k) & (r + s - k >= min_chars)
@@ -187,14 +194,13 @@ def factors(key: np.ndarray, off: np.ndarray, text: list[str], doc: np.ndarray,
     rows, start, end = [np.flatnonzero(sure)], [(off + k - s)[sure]], [(off + r)[sure]]
     place = np.empty(n, np.int64)
     place[to_right] = np.arange(n)
+    sorted_key = key[to_right]
     for i in rest[~held]:
         # references that can hold a stretch of i lie around it in order, as far as they share the least of its right side
-        least = min_chars - (s[i] - k)
-        low = high = int(place[i])
-        while low > 0 and key[to_right[low - 1]] == key[i] and _common(ahead, ahead_length, to_right[low - 1 : low], np.array([i]))[0] >= least:
-            low -= 1
-        while high + 1 < n and key[to_right[high + 1]] == key[i] and _common(ahead, ahead_length, to_right[high + 1 : high + 2], np.array([i]))[0] >= least:
-            high += 1
+        least, at = min_chars - (s[i] - k), int(place[i])
+        first, last = np.searchsorted(sorted_key, key[i], "left"), np.searchsorted(sorted_key, key[i], "right") - 1
+        before, after = np.flatnonzero(adjacent[first:at] < least), np.flatnonzero(adjacent[at:last] < least)
+        low, high = first + before[-1] + 1 if len(before) else first, at + after[0] if len(after) else last
         others = to_right[low : high + 1]
         others = others[(doc[others] != doc[i]) | (doc[others] < 0)]
         me = np.full(len(others), i)
