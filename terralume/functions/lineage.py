@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,7 +26,29 @@ def checkpoint_root(spark: SparkSession) -> str:
     return configured
 
 
+_written: list[tuple[SparkSession, str]] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared checkpoint folder: later reads survive lost executors and recompute nothing."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written once as a table in the shared checkpoint folder: later reads survive lost executors, recompute nothing and take only
+    the columns they need. The table stays until ``clear`` or the end of the process, as what was read from it may still be in use.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _written.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear() -> None:
+    """Removes the tables that ``cut`` has written; call it when their results are stored."""
+    while _written:
+        spark, path = _written.pop()
+        try:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        except Exception:  # noqa: BLE001 - the session may be over, and its folder with it
+            continue
+
+
+atexit.register(clear)
