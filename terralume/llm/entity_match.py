@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -13,287 +12,220 @@ from pyspark.sql import functions as F
 
 from terralume.functions.lineage import cut
 from terralume.functions.usable import source_name
-from terralume.llm.address_match import _mix, align, band_keys, same_quarter, same_town, stable_hash, substitution
-from terralume.llm.addresses import TITLES, parse
-
-DIM, TABLES, BITS = 32, 4, 4
-#: Advertisements whose walks train the vectors (a sample by hash, the same at every size), walks from each, and steps.
-TRAIN_ROWS, WALKS, STEPS, WINDOW, NEGATIVES = 4000, 3, 8, 2, 4
-#: Candidate pairs on which cosines are calibrated.
-CALIBRATION_PAIRS = 5000
-#: Areas of one dwelling differ by less than this share; a bin is so wide that two such areas share one of two shifted bins.
+from terralume.llm import entity_vectors
+from terralume.llm.address_match import _mix, stable_hash
+from terralume.llm.addresses import parse
+from terralume.llm.entity_vectors import Vectors
+
+#: Tables of hyperplanes and bits of each; the bit nearest its plane is also turned over, as a second key of the table.
+TABLES, BITS = 6, 8
+#: For records without a house number, which have no other part in their keys: fewer tables of more bits.
+BARE_TABLES, BARE_BITS = 4, 12
+#: Of the bits of all tables, those in which two records of one key may differ (a cosine of 0.5 differs in 16 of 48).
+MOST_UNLIKE = 19
+#: Cells of coordinates in degrees, on two grids.
+CELL = 0.004
+#: Areas of one dwelling differ by less than this share.
 AREA_TOLERANCE = 0.05
-LEAST_CONFIDENCE = 0.5
-#: Pairs with less than this can't reach LEAST_CONFIDENCE, whatever their cosine.
-LEAST_ODDS = -4.0
-#: Log-odds of what two advertisements of one building say of the dwelling, by agreement: (same, unlike). Unknown is 0.
-EVIDENCE = {"unit": (5.0, -5.0), "bedrooms": (1.8, -1.5), "bathrooms": (0.9, -1.0), "suites": (0.5, -0.7), "floor": (2.5, -3.5), "area": (3.2, -6.0), "condominium": (0.3, -0.3), "property_type": (0.3, -0.5)}
+LEAST_CONFIDENCE = 0.6
+#: Labelled pairs on which the curve is fitted, in the order of a hash: the same unit, or another one or coordinates far apart.
+CALIBRATION_PAIRS = 5000
+#: What the curve holds before it has seen labels, and how strongly; it is centred there.
+PRIOR = {"bias": -11.0, "record": 2.5, "word": 3.0, "name": 1.5, "town": 4.0, "quarter": 0.7, "area": 1.5, "bedrooms": 1.6, "bathrooms": 1.4, "suites": 1.1, "floor": 2.5, "condominium": 1.0, "property_type": 1.2, "number": 0.5, "kind": 3.0}
+PRIOR_WEIGHT = 10.0
+#: Log-odds of what the curve doesn't see: a unit that both name (units of one building are dwellings of their own), and coordinates
+#: as near as those of one building, or so far apart (degrees) that they are of two.
+SAME_UNIT, OTHER_UNIT, NEAR, FAR = 3.0, -12.0, 1.0, -12.0
+NEAR_DEGREES, FAR_DEGREES = 0.002, 0.006
+#: Cosines of names and of towns below which nothing else can make up for the place.
+LEAST_NAME, LEAST_TOWN = 0.5, 0.3
 NUMBERS = ["bedrooms", "bathrooms", "suites", "floor"]
+FEATURES = [f for f in PRIOR if f != "bias"]
+ATTRIBUTES = "kind string, name string, number string, unit string, town string, quarter string, area double, bedrooms double, bathrooms double, suites double, floor double, condominium string, property_type string, lat double, lon double"
+_NAMES = [a.split()[0] for a in ATTRIBUTES.split(", ")]
+_cached_hash = lru_cache(100_000)(stable_hash)
+_PLANES = np.random.default_rng(5).standard_normal((TABLES * BITS, entity_vectors.DIM)).astype(np.float32)
+_BARE_PLANES = np.random.default_rng(6).standard_normal((BARE_TABLES * BARE_BITS, entity_vectors.DIM)).astype(np.float32)
 
 
-# -- vectors ------------------------------------------------------------------
-def record_tokens(ad: dict) -> list[str]:
-    """The attribute nodes of a record in the graph; words of names are nodes of their own."""
-    out = [f"kind:{ad['kind']}", f"town:{ad['town']}", f"quarter:{ad['quarter']}", f"number:{ad['number']}", f"unit:{ad['unit']}", f"type:{ad['property_type']}"]
-    out += [f"word:{w}" for w in ad["name"].split()] + [f"{c}:{ad[c]:g}" for c in NUMBERS if ad[c] == ad[c] and ad[c] is not None]
-    if ad["area"] and ad["area"] == ad["area"]:
-        out.append(f"area:{round(math.log(ad['area']) / 0.1)}")
-    return [t for t in out if not t.endswith(":")]
-
-
-def train_vectors(records: list[list[str]], seed: int = 11) -> dict[str, np.ndarray]:
-    """Skip-gram vectors with negative sampling from random walks between records and their tokens.
-
-    The records are a bounded sample, so are the walks and the vocabulary. Tokens seen once have no vector of their own.
-    """
-    counts: dict[str, int] = {}
-    for r in records:
-        for t in r:
-            counts[t] = counts.get(t, 0) + 1
-    vocabulary = {t: i for i, t in enumerate(sorted(t for t, n in counts.items() if n > 1))}
-    if not vocabulary:
-        return {}
-    rng = np.random.default_rng(seed)
-    links = [[vocabulary[t] for t in r if t in vocabulary] for r in records]
-    of_token: list[list[int]] = [[] for _ in vocabulary]
-    for i, r in enumerate(links):
-        for t in r:
-            of_token[t].append(i)
-    pairs: list[tuple[int, int]] = []
-    for start, own in enumerate(links):
-        for _ in range(WALKS if own else 0):
-            walk, at = [], start
-            draws = rng.random(2 * STEPS)
-            for s in range(STEPS):
-                token = links[at][int(draws[2 * s] * len(links[at]))]
-                walk.append(token)
-                at = of_token[token][int(draws[2 * s + 1] * len(of_token[token]))]
-            pairs += [(walk[i], walk[j]) for i in range(STEPS) for j in range(max(0, i - WINDOW), min(STEPS, i + WINDOW + 1)) if i != j]
-    n = len(vocabulary)
-    center, context = np.array(pairs, np.int64).T
-    noise = np.bincount(context, minlength=n).astype(float) ** 0.75
-    noise /= noise.sum()
-    u = (rng.random((n, DIM)) - 0.5) / DIM
-    v = np.zeros((n, DIM))
-    order = rng.permutation(len(center))
-    for at in range(0, len(order), 512):
-        c, o = center[order[at : at + 512]], context[order[at : at + 512]]
-        targets = np.concatenate([o[:, None], rng.choice(n, (len(c), NEGATIVES), p=noise)], axis=1)
-        score = 1 / (1 + np.exp(-np.einsum("bd,bkd->bk", u[c], v[targets])))
-        score[:, 0] -= 1
-        step = 0.05
-        grad_u = np.einsum("bk,bkd->bd", score, v[targets])
-        np.add.at(v, targets.ravel(), -step * (score[:, :, None] * u[c][:, None, :]).reshape(-1, DIM))
-        np.add.at(u, c, -step * grad_u)
-    norm = np.linalg.norm(u, axis=1, keepdims=True)
-    u /= np.where(norm > 0, norm, 1)
-    return {t: u[i].astype(np.float32) for t, i in vocabulary.items()}
-
-
-@lru_cache(200_000)
-def spelled_vector(word: str) -> np.ndarray:
-    """A unit vector from the q-grams of a word: near for words that differ by an edit, and there for words never seen."""
-    padded = f"^{word}$"
-    grams = np.array([stable_hash(padded[i : i + 3]) for i in range(max(1, len(padded) - 2))], np.uint64)
-    bits = _mix(grams[:, None] + np.arange(DIM, dtype=np.uint64)[None, :])
-    v = (bits >> np.uint64(40)).astype(np.float64).sum(axis=0) / 2**23 - len(grams)
-    return (v / (np.linalg.norm(v) or 1)).astype(np.float32)
-
-
-def record_vector(tokens: list[str], trained: dict[str, np.ndarray]) -> np.ndarray:
-    """Of each token its trained vector and, for words and numbers that tell records apart, its spelling."""
-    total = np.zeros(2 * DIM, np.float32)
-    for t in tokens:
-        if (known := trained.get(t)) is not None:
-            total[:DIM] += known
-        if t.startswith(("word:", "number:", "quarter:", "town:", "unit:")):
-            total[DIM:] += spelled_vector(t.split(":", 1)[1])
-    return total / (np.linalg.norm(total) or 1)
-
-
-_PLANES = np.random.default_rng(5).standard_normal((TABLES, BITS, DIM)).astype(np.float32)
-
-
-@lru_cache(300_000)
-def _codes(name: str) -> tuple[int, ...]:
-    """For each table on which sides of its hyperplanes the vector of a street lies."""
-    place = sum((spelled_vector(w) for w in name.split()), np.zeros(DIM, np.float32))
-    return tuple(int(c) for c in (np.einsum("tbd,d->tb", _PLANES, place) > 0) @ (1 << np.arange(BITS)))
-
+# -- blocking -----------------------------------------------------------------------
+def _records(frame: pd.DataFrame) -> list[dict]:
+    return frame.astype(object).where(frame.notna(), None).to_dict("records")
 
-_cached_hash = lru_cache(100_000)(stable_hash)
 
+def _codes(vectors: np.ndarray, planes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each table the code of each vector, and the code with the least certain bit turned over."""
+    side = (vectors @ planes.T).reshape(len(vectors), -1, bits)
+    code = ((side > 0) @ (1 << np.arange(bits))).astype(np.uint64)
+    return code, code ^ (np.uint64(1) << np.abs(side).argmin(axis=2).astype(np.uint64))
 
-def block_keys(frame: pd.DataFrame) -> pd.DataFrame:
-    """``key, ad, tag`` of each record's buckets; the tag is the hash of the source, then ``binned`` and ``open`` as two bits.
 
-    A key holds the table, the hyperplane code of the street's vector and the house number, once with bins of the area
-    (``binned``, where it is known) and once without. So does a cell of the coordinates, with the house number and without. Records
-    without area in the keys of a street, and without number in those of a cell, are ``open``: they meet all records of their place.
-    """
-    n = len(frame)
-    numbered = ((frame["number"] != "") & (frame["name"] != "")).to_numpy()
-    area = frame["area"].to_numpy(np.float64)
-    known = area > 0
+def _cells(frame: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
     lat, lon = frame["lat"].to_numpy(np.float64), frame["lon"].to_numpy(np.float64)
-    number = np.array([_cached_hash(x) for x in frame["number"]], np.uint64)
-    codes = np.array([_codes(x) for x in frame["name"]], np.uint64).reshape(n, TABLES)
-    bases = [(numbered, _mix(number ^ _mix(codes[:, t] + np.uint64(1 + (t << 8))))) for t in range(TABLES)]
     placed = np.isfinite(lat) & np.isfinite(lon)
-    cells = []
-    for shift in (0.0, 0.5):
-        y, x = (np.floor(np.where(placed, v, 0) / 0.002 + shift).astype(np.int64).astype(np.uint64) for v in (lat, lon))
-        cells.append((placed, _mix(_mix(y + np.uint64(77 if shift else 78)) ^ x)))
-    rows = []
-    ad, src = frame["_ad"].to_numpy(), np.array([_cached_hash(x) & 0xFFFFFFFF for x in frame["_src"]], np.int64)
-    logs = np.log(np.where(known, area, 1)) / (2 * AREA_TOLERANCE)
-    for base, (which, key) in enumerate([*bases, *cells]):
-        rows.append((key[which], ad[which], src[which] * 4 + (~known if base < TABLES else ~numbered)[which]))
-        if base < TABLES:
-            both = which & known
-            for shift in (0.0, 0.5):
-                bins = np.floor(logs[both] + shift).astype(np.int64).astype(np.uint64)
-                rows.append((_mix(key[both] ^ _mix(bins + np.uint64(5000 if shift else 9000))), ad[both], src[both] * 4 + 2))
-    for which, key in cells:
-        both = which & numbered
-        rows.append((_mix(key[both] ^ number[both]), ad[both], src[both] * 4 + 2))
-    key, ad, tag = (np.concatenate(x) for x in zip(*rows, strict=True))
-    return pd.DataFrame({"key": key.view(np.int64), "ad": ad, "tag": tag})
-
-
-def street_keys(frame: pd.DataFrame) -> pd.DataFrame:
-    """``key, ad, tag, bare`` of buckets that hold a street without its number; ``tag`` as in ``block_keys``.
-
-    A key holds the name in ``street``, once with bins of the area and once without.
-    """
-    ad, bare = frame["_ad"].to_numpy(), frame["bare"].to_numpy(bool)
-    street = np.array([_cached_hash(x) for x in frame["street"]], np.uint64)
-    src = np.array([_cached_hash(x) & 0xFFFFFFFF for x in frame["_src"]], np.int64)
-    area = frame["area"].to_numpy(np.float64)
-    known = area > 0
-    logs = np.log(np.where(known, area, 1)) / (2 * AREA_TOLERANCE)
-    rows = [(_mix(street ^ np.uint64(31)), ad, src * 4 + ~known, bare)]
+    out = []
     for shift in (0.0, 0.5):
-        bins = np.floor(logs[known] + shift).astype(np.int64).astype(np.uint64)
-        rows.append((_mix(_mix(street[known]) ^ _mix(bins + np.uint64(5000 if shift else 9000))), ad[known], src[known] * 4 + 2, bare[known]))
-    key, ad, tag, bare = (np.concatenate(x) for x in zip(*rows, strict=True))
-    return pd.DataFrame({"key": key.view(np.int64), "ad": ad, "tag": tag, "bare": bare})
-
-
-def _like_streets(ads: DataFrame) -> DataFrame:
-    """``name, street``: each name of a street that some advertisement gives without a number, and all names that align with it."""
-    names = ads.where("name <> ''").groupBy("name").agg(F.max(F.col("number") == "").alias("bare"))
-
-    def bands(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            keys = [band_keys(tuple(x.split()), "") for x in frame["name"]]
-            yield frame.assign(band=keys).explode("band").astype({"band": np.int64})[["band", "name", "bare"]]
-
-    banded = names.mapInPandas(bands, "band bigint, name string, bare boolean")
-    bare, every = banded.where("bare").select("band", "name"), banded.select("band", F.col("name").alias("street"))
-    close = F.levenshtein("name", "street") <= 0.55 * F.greatest(F.length("name"), F.length("street"))
+        y, x = (np.floor(np.where(placed, v, 0) / CELL + shift).astype(np.int64).astype(np.uint64) for v in (lat, lon))
+        out.append((placed, _mix(_mix(y + np.uint64(77 if shift else 78)) ^ x)))
+    return out
 
-    def aligned(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            each = frame.drop_duplicates()
-            yield each[[names_agree(*pair) for pair in zip(each["name"], each["street"], strict=True)]]
 
-    return bare.join(every, "band").where(close).select("name", "street").mapInPandas(aligned, "name string, street string").dropDuplicates()
+#: ``sketch`` of a block row: bits 0 to 47 the codes, 48 to 57 the area on a scale of 1 %, 58 a probe, 59 a cell.
+_PROBE, _CELL_BIT = np.uint64(1 << 58), np.uint64(1 << 59)
 
 
-def _street_pairs(ads: DataFrame) -> DataFrame:
-    """``ad, other`` of two sources on one street, at least one of them without a house number."""
-    like = cut(_like_streets(ads))
-    narrow = ads.where("name <> ''").select("_ad", "_src", "area", "name", (F.col("number") == "").alias("bare"))
-    asking = narrow.where("bare").join(like, "name").select("_ad", "_src", "area", "street", "bare")
-    asked = narrow.join(like.select(F.col("street").alias("name")).dropDuplicates(), "name", "left_semi").select("_ad", "_src", "area", F.col("name").alias("street"), F.lit(False).alias("bare"))
+def block_rows(frame: pd.DataFrame, vectors: Vectors, numbered: bool) -> pd.DataFrame:
+    """``key, ad, sketch, src`` of each record's buckets.
 
-    def keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            if len(frame):
-                yield street_keys(frame)
-
-    blocks = asking.unionByName(asked).mapInPandas(keys, "key bigint, ad bigint, tag bigint, bare boolean")
-    a, b = blocks.where("bare").alias("a"), blocks.where("not bare").alias("b")
-    first = F.shiftright("a.tag", 2) < F.shiftright("b.tag", 2)
-    across = (F.col("a.key") == F.col("b.key")) & (F.shiftright("a.tag", 2) != F.shiftright("b.tag", 2)) & (F.col("a.tag").bitwiseOR(F.col("b.tag")).bitwiseAND(F.lit(3)) > 0)
-    return a.join(b, across).select(F.when(first, F.col("a.ad")).otherwise(F.col("b.ad")).alias("ad"), F.when(first, F.col("b.ad")).otherwise(F.col("a.ad")).alias("other"))
-
-
-# -- comparing ----------------------------------------------------------------
-def plausible() -> F.Column:
-    """What built-in expressions can tell of a pair ``x``, ``y`` before names are aligned: kind, number, nearness, and very unlike names."""
-    blank = lambda c: (F.col(f"x.{c}") == "") | (F.col(f"y.{c}") == "")
-    same = lambda c: F.col(f"x.{c}") == F.col(f"y.{c}")
-    near = (F.abs(F.col("x.lat") - F.col("y.lat")) < 0.004) & (F.abs(F.col("x.lon") - F.col("y.lon")) < 0.004)
-    names = [F.col("x.name"), F.col("y.name")]
-    length = F.greatest(*[F.length(n) for n in names])
-    close = F.levenshtein(*names) <= 0.55 * length
-    numbered = ~blank("number") & same("number") & ~blank("name") & close & F.coalesce(near, F.lit(True))
-    unnumbered = blank("number") & F.coalesce(near, ~blank("name")) & (blank("name") | close)
-    sized = F.coalesce(F.abs(F.col("x.area") - F.col("y.area")) <= AREA_TOLERANCE * F.greatest("x.area", "y.area"), F.lit(True)) | (~blank("unit") & same("unit"))
-    return (blank("kind") | same("kind")) & sized & (numbered | unnumbered)
-
-
-def evidence(frame: pd.DataFrame) -> np.ndarray:
-    """Log-odds that the two advertisements of each row, ``x_*`` and ``y_*``, of one building are of one dwelling."""
-    total = np.full(len(frame), -1.0)
-    for field, (same, unlike) in EVIDENCE.items():
-        x, y = frame[f"x_{field}"], frame[f"y_{field}"]
-        known = (x.notna() & y.notna() & (x != "") & (y != "")).to_numpy(bool)
-        if field == "area":
-            x, y = x.to_numpy(float), y.to_numpy(float)
-            agree = np.abs(x - y) <= AREA_TOLERANCE * np.maximum(x, y)
-        else:
-            agree = (x == y).to_numpy(bool)
-        total += np.where(known, np.where(agree, same, unlike), 0.0)
-    return total
-
-
-def names_agree(a: str, b: str) -> bool:
-    """Two names of streets align, whichever comes first."""
-    x, y = tuple(a.split()), tuple(b.split())
+    A key holds the table and the record's hyperplane code with, for ``numbered`` ones, the house number; or a cell of the
+    coordinates with it. Keys of other records, and of all records when they are to meet those, hold no number.
+    """
+    if not len(frame):
+        return pd.DataFrame({"key": np.zeros(0, np.int64), "ad": np.zeros(0, np.int64), "sketch": np.zeros(0, np.int64), "src": np.zeros(0, np.int32)})
+    v = np.stack([vectors.record(r) for r in _records(frame)])
+    code, probe = _codes(v, _PLANES, BITS)
+    area = frame["area"].to_numpy(np.float64)
+    scale = np.where(area > 0, np.clip(np.round(np.log(np.where(area > 0, area, 1)) * 100), 1, 1023), 0).astype(np.uint64)
+    sketch = (code << (np.arange(TABLES, dtype=np.uint64) * np.uint64(BITS))).sum(axis=1, dtype=np.uint64) | (scale << np.uint64(48))
+    ad, src = frame["_id"].to_numpy(), np.array([_cached_hash(x) & 0x7FFFFFFF for x in frame["_src"]], np.int32)
+    number = np.array([_cached_hash(x) for x in frame["number"]], np.uint64) if numbered else np.zeros(len(frame), np.uint64)
+    everyone = np.ones(len(frame), bool)
+    rows: list[tuple[np.ndarray, np.ndarray, np.uint64]] = []
+    if numbered:
+        for t in range(TABLES):
+            for codes, mark in ((code, np.uint64(0)), (probe, _PROBE)):
+                rows.append((everyone, _mix(number ^ _mix(codes[:, t] + np.uint64(1 + (t << 16)))), mark))
+    else:
+        bare, _ = _codes(v, _BARE_PLANES, BARE_BITS)
+        rows += [(everyone, _mix(bare[:, t] + np.uint64((t + 64) << 16)), np.uint64(0)) for t in range(BARE_TABLES)]
+    rows += [(placed, _mix(key ^ number), _CELL_BIT) for placed, key in _cells(frame)]
+    return pd.DataFrame({"key": np.concatenate([k[w] for w, k, _ in rows]).view(np.int64), "ad": np.concatenate([ad[w] for w, _, _ in rows]), "sketch": np.concatenate([(sketch | m)[w] for w, _, m in rows]).view(np.int64), "src": np.concatenate([src[w] for w, _, _ in rows])})
+
+
+def _meet(a: DataFrame, b: DataFrame, once: bool) -> DataFrame:
+    """``ad, other`` of two sources that share a key and whose sketches don't rule each other out."""
+    a, b = a.alias("a"), b.alias("b")
+    bit = lambda n: F.shiftright(F.col("a.sketch").bitwiseAND(F.col("b.sketch")), n).bitwiseAND(F.lit(1)) == 1
+    unlike = F.bit_count(F.col("a.sketch").bitwiseXOR(F.col("b.sketch")).bitwiseAND(F.lit((1 << (TABLES * BITS)) - 1)))
+    x, y = (F.shiftright(f"{s}.sketch", 48).bitwiseAND(F.lit(1023)) for s in "ab")
+    # a unit that both name may overrule areas, so those are only roughly compared here
+    sized = (x == 0) | (y == 0) | (F.abs(x - y) <= 15)
+    sources = F.col("a.src") < F.col("b.src") if once else F.col("a.src") != F.col("b.src")
+    first = F.col("a.src") < F.col("b.src")
+    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & sources & ~bit(58) & (bit(59) | (unlike <= MOST_UNLIKE)) & sized)
+    return pairs.select(F.when(first, F.col("a.ad")).otherwise(F.col("b.ad")).alias("ad"), F.when(first, F.col("b.ad")).otherwise(F.col("a.ad")).alias("other"))
+
+
+def candidate_pairs(ads: DataFrame, vectors: object) -> DataFrame:
+    """``ad, other``, each pair once: records of two sources that share a bucket. ``vectors`` is a broadcast model."""
+    columns = ["_id", "_src", "name", "number", "town", "quarter", "area", "bedrooms", "bathrooms", "lat", "lon"]
+    schema = "key bigint, ad bigint, sketch bigint, src int"
+
+    def blocks(rows: DataFrame, numbered: bool) -> DataFrame:
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                yield block_rows(frame, vectors.value, numbered)
+
+        return rows.select(*columns).mapInPandas(run, schema)
+
+    whole, bare = ads.where("number <> ''"), ads.where("number = ''")
+    numbered = blocks(whole, True)
+    found = _meet(numbered, numbered, True)
+    lost = cut(blocks(bare, False))
+    if not lost.isEmpty():
+        # of the others only rows in a bucket of such a record go on
+        sought = lost.select("key").dropDuplicates()
+        near = blocks(whole, False).join(sought, "key", "left_semi")
+        found = found.unionByName(_meet(lost, lost, True)).unionByName(_meet(lost, near, False))
+    return found.dropDuplicates()
+
+
+# -- comparing -----------------------------------------------------------------------
+def name_likeness(a: str, b: str, vectors: Vectors) -> tuple[float, float]:
+    """(least, mean) cosine of the words of two names, each with the best of the other's, weighted by rarity.
+
+    The words of the longer name count too: one that the other doesn't have pulls both down, the less the more common it is.
+    """
+    x, y = a.split(), b.split()
+    if not x or not y:
+        return 0.5, 0.5
+    least, total, weight = 1.0, 0.0, 0.0
+    top = max(vectors.rarity(f"word:{w}") for w in x + y) or 1.0
+    for own, others in ((x, y), (y, x)):
+        for w in own:
+            rare = vectors.rarity(f"word:{w}") / top
+            like = max(vectors.likeness(f"word:{w}", f"word:{o}") for o in others)
+            least = min(least, 1 - rare * (1 - like))
+            total, weight = total + rare * like, weight + rare
+    return least, total / (weight or 1.0)
+
+
+def _phrase_likeness(kind: str, a: str, b: str, vectors: Vectors) -> float:
+    """Cosine of two phrases; 0.5 if one of them isn't known."""
+    if not a or not b:
+        return 0.5
     if a == b:
-        return True
-    if not any(t in TITLES for t in x + y):  # a gap costs more than names may
-        cost = 0.0
-        for p, q in zip(x, y, strict=False):
-            if (cost := cost + substitution(p, q)) > 0.81:
-                return False
-        if len(x) != len(y):
-            return False
-    elif not any(t in TITLES for t in x[-2:] + y[-2:]) and substitution(x[-1], y[-1]) == 1 == substitution(y[-1], x[-1]):
-        return False  # the last words must be one another's
-    return align(x, y) <= 0.8 or align(y, x) <= 0.8
-
-
-def places_agree(a_town: str, a_quarter: str, a_name: str, b_town: str, b_quarter: str, b_name: str) -> bool:
-    """Town, neighbourhood and street agree as far as both are known."""
-    town = same_town(a_town, b_town)
-    if town == 0 or (town < 1 and same_quarter(a_quarter, b_quarter) is False):
-        return False
-    return not (a_name and b_name) or align(tuple(a_name.split()), tuple(b_name.split())) <= 0.8
-
-
-def calibrate(cosine: np.ndarray, log_odds: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve from cosine to the chance of a match, fitted on pairs whose other evidence is clear."""
-    clear = np.abs(log_odds) >= 3
-    x, y = cosine[clear], (log_odds[clear] > 0).astype(float)
-    if len(x) < 50 or y.min() == y.max():
-        return 4.0, -2.0
-    w = np.zeros(2)
-    design = np.stack([x - x.mean(), np.ones(len(x))], axis=1)
-    for _ in range(25):
-        p = 1 / (1 + np.exp(-design @ w))
-        hessian = (design * (p * (1 - p))[:, None]).T @ design + 0.5 * np.eye(2)
-        w += np.linalg.solve(hessian, design.T @ (y - p) - 0.5 * w)
-    return float(max(0.0, w[0])), float(w[1] - w[0] * x.mean() if w[0] > 0 else w[1])
-
-
-ATTRIBUTES = "kind string, name string, number string, unit string, town string, quarter string, area double, bedrooms double, bathrooms double, suites double, floor double, condominium string, property_type string, lat double, lon double"
-_NAMES = [a.split()[0] for a in ATTRIBUTES.split(", ")]
-
-
+        return 1.0 if any(vectors.token(f"{kind}:{w}").any() for w in a.split()) else 0.0
+    x, y = (np.sum([vectors.rarity(f"{kind}:{w}") * vectors.token(f"{kind}:{w}") for w in s.split()], axis=0) for s in (a, b))
+    norm = float(np.linalg.norm(x) * np.linalg.norm(y))
+    return float(x @ y) / norm if norm else 0.0
+
+
+def features(frame: pd.DataFrame, vectors: Vectors) -> pd.DataFrame:
+    """What the curve reads of each pair ``x_*``, ``y_*``: cosines of the vectors, and whether fields agree (1), differ (-1) or aren't known (0)."""
+    out: dict[str, np.ndarray] = {}
+    sides = [frame[[f"{s}_{c}" for c in _NAMES]].set_axis(_NAMES, axis=1) for s in "xy"]
+    known: dict[tuple, np.ndarray] = {}
+
+    def vector(r: dict) -> np.ndarray:
+        key = (r["name"], r["town"], r["quarter"], r["area"], r["bedrooms"], r["bathrooms"])
+        if (v := known.get(key)) is None:
+            v = known[key] = vectors.record(r)
+        return v
+
+    x, y = _records(sides[0]), _records(sides[1])
+    out["record"] = np.array([vector(p) @ vector(q) for p, q in zip(x, y, strict=True)], float)
+    names = [name_likeness(p["name"], q["name"], vectors) for p, q in zip(x, y, strict=True)]
+    out["word"], out["name"] = np.array([n[0] for n in names], float), np.array([n[1] for n in names], float)
+    for kind in ("town", "quarter"):
+        out[kind] = np.array([_phrase_likeness(kind, p[kind], q[kind], vectors) for p, q in zip(x, y, strict=True)], float)
+    a, b = (s["area"].to_numpy(float) for s in sides)
+    apart = np.abs(a - b) / np.maximum(np.maximum(a, b), 1e-9)
+    out["area"] = np.where((a > 0) & (b > 0), np.where(apart <= AREA_TOLERANCE, 1 - 0.5 * apart / AREA_TOLERANCE, -np.minimum(3.0, apart / AREA_TOLERANCE)), 0.0)
+    for c in (*NUMBERS, "condominium", "property_type", "number", "kind"):
+        p, q = sides[0][c], sides[1][c]
+        both = (p.notna() & q.notna() & (p != "") & (q != "")).to_numpy(bool)
+        out[c] = np.where(both, np.where((p == q).to_numpy(bool), 1.0, -1.0), 0.0)
+    far = np.maximum(np.abs(sides[0]["lat"].to_numpy(float) - sides[1]["lat"].to_numpy(float)), np.abs(sides[0]["lon"].to_numpy(float) - sides[1]["lon"].to_numpy(float)))
+    out["apart"] = np.where(np.isfinite(far), far, -1.0)
+    p, q = sides[0]["unit"], sides[1]["unit"]
+    out["unit"] = np.where(((p != "") & (q != "")).to_numpy(bool), np.where((p == q).to_numpy(bool), 1.0, -1.0), 0.0)
+    return pd.DataFrame(out)[[*FEATURES, "unit", "apart"]]
+
+
+def calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Weights of the logistic curve (the first is the bias) from features and weighted labels, centred on ``PRIOR``: few labels move it little."""
+    centre = np.array(list(PRIOR.values()))
+    w = centre.copy()
+    design = np.column_stack([np.ones(len(x)), x]) if len(x) else np.zeros((0, len(w)))
+
+    def loss(w: np.ndarray) -> float:
+        z = design @ w
+        return float((weight * np.logaddexp(0, np.where(y > 0, -z, z))).sum() + PRIOR_WEIGHT / 2 * ((w - centre) ** 2).sum())
+
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
+        hessian = (design * (weight * p * (1 - p))[:, None]).T @ design + PRIOR_WEIGHT * np.eye(len(w))
+        step = np.linalg.solve(hessian, design.T @ (weight * (y - p)) - PRIOR_WEIGHT * (w - centre))
+        while loss(w + step) > loss(w) and np.abs(step).max() > 1e-6:
+            step = step / 2
+        w = w + step
+        if np.abs(step).max() < 1e-6:
+            break
+    return w
+
+
+# -- records ---------------------------------------------------------------------------
 def advertisements(df: DataFrame, usable: dict[str, F.Column]) -> DataFrame:
     """One row for each (source, property_id): what its scrapes say together; rows without property_id stand alone.
 
@@ -312,13 +244,15 @@ def match_entities(df: DataFrame, usable: dict[str, F.Column], least: float = LE
 
     Scrapes of one (source, property_id) are put together, and advertisements of different sources are matched:
 
-    1. a graph of records, attributes and words; random walks on a bounded sample of records train skip-gram vectors;
-    2. blocking by ``TABLES`` tables of hyperplane codes of the street's vector, with house number and area bins in the key
-       (coordinates where there is no number), so a bucket is about as large as a dwelling has advertisements; one without
-       a number also meets all of like area on its street, under any like name;
-    3. exact reranking of each candidate pair: parts of the address by affine-gap alignment, cosine of the whole vectors,
-       and what both say of unit, area, rooms and floor as log-odds;
-    4. the cosine's part is calibrated by a logistic curve on a bounded sample of candidate pairs.
+    1. a graph of records, attributes and words; random walks from every record train skip-gram vectors, spelled by q-grams;
+    2. blocking by ``TABLES`` tables of hyperplane codes of the record's vector, with the house number in the key, so a bucket is about
+       as large as a dwelling has advertisements; cells of the coordinates with the number; longer codes and cells alone for
+       advertisements without a number;
+    3. exact reranking of each candidate pair: cosines of the records, of their names word by word, of towns and neighbourhoods,
+       beside which fields agree;
+    4. a logistic curve turns them into a confidence. Its labels are held out from it: pairs that name the same unit of a building,
+       against pairs that name another or lie far apart. It is fitted on at most ``CALIBRATION_PAIRS`` of them; units and
+       coordinates are then counted as evidence of their own.
 
     Missing values are no evidence; repeated ids count once; ties don't matter, as each pair is judged alone. An empty
     table gives an empty table.
@@ -356,52 +290,41 @@ def _bounded_sample(df: DataFrame, order: F.Column, n: int) -> pd.DataFrame:
     return cut(thin.orderBy(F.pmod(order, F.lit(1 << 30)), *df.columns[:2]).limit(n)).toPandas()
 
 
-def _match(rows: DataFrame, least: float) -> DataFrame:
-    ads = cut(_parse_ads(rows))
-    sample = _bounded_sample(ads, F.xxhash64("_ad"), TRAIN_ROWS).drop(columns=["_ad", "_src"]).astype(object)
-    trained = ads.sparkSession.sparkContext.broadcast(train_vectors([record_tokens(r) for r in sample.where(sample.notna(), None).to_dict("records")]))
+def judged_pairs(ads: DataFrame, vectors: object) -> DataFrame:
+    """``ad, other``, the features of each candidate pair, and ``unit``: 1 the same, -1 another, 0 not known."""
+    sides = [ads.select(F.col("_id").alias(k), F.struct(*_NAMES).alias(s)) for k, s in (("ad", "x"), ("other", "y"))]
+    both = candidate_pairs(ads, vectors).join(sides[0], "ad").join(sides[1], "other")
+    flat = both.select("ad", "other", *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in _NAMES])
 
-    def keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             if len(frame):
-                yield block_keys(frame)
-
-    blocks = ads.select("_ad", "_src", "name", "number", "area", "lat", "lon").mapInPandas(keys, "key bigint, ad bigint, tag bigint")
-    a, b = blocks.alias("a"), blocks.alias("b")
-    source = lambda side: F.shiftright(f"{side}.tag", 2)
-    across = (F.col("a.key") == F.col("b.key")) & (source("a") < source("b")) & (F.col("a.tag").bitwiseOR(F.col("b.tag")).bitwiseAND(F.lit(3)) > 0)
-    pairs = a.join(b, across).select("a.ad", F.col("b.ad").alias("other")).unionByName(_street_pairs(ads)).dropDuplicates()
-    sides = [ads.select(F.col("_ad").alias(k), F.struct(*_NAMES).alias(s)) for k, s in (("ad", "x"), ("other", "y"))]
-    both = pairs.join(sides[0], "ad").join(sides[1], "other").where(plausible())
-    flat = both.select("ad", "other", *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in _NAMES if c not in ("lat", "lon")])
+                yield pd.concat([frame[["ad", "other"]].reset_index(drop=True), features(frame, vectors.value)], axis=1)
 
-    def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vectors = trained.value
-        fields = [c for c in _NAMES if c not in ("lat", "lon")]
-        known: dict[int, np.ndarray] = {}
+    return flat.mapInPandas(judge, "ad bigint, other bigint, " + ", ".join(f"`{f}` float" for f in [*FEATURES, "unit", "apart"]))
 
-        def vector(ad: int, values: tuple) -> np.ndarray:
-            if (v := known.get(ad)) is None:
-                v = known[ad] = record_vector(record_tokens(dict(zip(fields, values, strict=True))), vectors)
-            return v
 
-        for frame in frames:
-            if len(known) > 100_000:
-                known.clear()
-            frame = frame.assign(odds=evidence(frame))
-            frame = frame[frame["odds"] > LEAST_ODDS]
-            towns = (frame[c] for c in ("x_town", "x_quarter", "x_name", "y_town", "y_quarter", "y_name"))
-            good = frame[[places_agree(*t) for t in zip(*towns, strict=True)]]
-            sides = [list(zip(*(good[f"{s}_{c}"] for c in fields), strict=True)) for s in "xy"]
-            cosine = [float(vector(i, x) @ vector(j, y)) for i, j, x, y in zip(good["ad"], good["other"], *sides, strict=True)]
-            yield pd.DataFrame({"ad": good["ad"], "other": good["other"], "cosine": np.array(cosine, float), "odds": good["odds"]})
-
-    judged = cut(flat.mapInPandas(judge, "ad bigint, other bigint, cosine double, odds double"))
-    fit = _bounded_sample(judged, F.xxhash64("ad", "other"), CALIBRATION_PAIRS)
-    slope, offset = calibrate(fit["cosine"].to_numpy(float), fit["odds"].to_numpy(float))
-    curve = F.least(F.lit(2.0), F.greatest(F.lit(-2.0), F.col("cosine") * slope + offset))
-    sure = judged.withColumn("confidence", F.round(1 / (1 + F.exp(-(F.col("odds") + 0.5 * curve))), 4)).where(F.col("confidence") >= least)
+def _match(rows: DataFrame, least: float) -> DataFrame:
+    ads = cut(_parse_ads(rows).withColumn("_id", F.monotonically_increasing_id()))
+    model = entity_vectors.train(ads, ["kind", "name", "number", "town", "quarter", "property_type", "area", *NUMBERS])
+    judged = cut(judged_pairs(ads, ads.sparkSession.sparkContext.broadcast(model)))
+    far = F.col("apart") > FAR_DEGREES
+    known = judged.agg(F.avg((F.col("unit") != 0).cast("double")).alias("share")).collect()[0]["share"] or 0.0
+    labelled = _bounded_sample(judged.where((F.col("unit") != 0) | far), F.xxhash64("ad", "other"), CALIBRATION_PAIRS)
+    # pairs labelled by their coordinates alone count as often as pairs that name units are among all
+    same = ((labelled["unit"] > 0) & (labelled["apart"] <= FAR_DEGREES)).to_numpy(float)
+    weights = calibrate(labelled[FEATURES].to_numpy(float), same, np.where(labelled["unit"] != 0, 1.0, known))
+    odds = F.lit(float(weights[0]))
+    for f, w in zip(FEATURES, weights[1:], strict=True):
+        odds = odds + float(w) * F.col(f)
+    odds = odds + F.when(F.col("unit") > 0, SAME_UNIT).when(F.col("unit") < 0, OTHER_UNIT).otherwise(0.0)
+    odds = odds + F.when(F.col("apart") < 0, 0.0).when(F.col("apart") <= NEAR_DEGREES, NEAR).when(far, FAR).otherwise(0.0)
+    # one place: a name and town that may be one, no other kind of street, and areas of one size unless the unit is the same
+    one_place = (F.col("name") >= LEAST_NAME) & (F.col("town") >= LEAST_TOWN) & (F.col("kind") >= 0) & ((F.col("area") >= 0) | (F.col("unit") > 0))
+    sure = judged.where(one_place).withColumn("confidence", F.round(1 / (1 + F.exp(-odds)), 4)).where(F.col("confidence") >= least).select("ad", "other", "confidence")
+    names = ads.select("_id", "_ad")
+    sure = sure.join(names.select(F.col("_id").alias("ad"), F.col("_ad").alias("x")), "ad").join(names.select(F.col("_id").alias("other"), F.col("_ad").alias("y")), "other").select("x", "y", "confidence")
     members = rows.select("listing_id", "_ad").dropDuplicates()
-    left, right = members.select(F.col("listing_id").alias("p"), F.col("_ad").alias("ad")), members.select(F.col("listing_id").alias("q"), F.col("_ad").alias("other"))
-    found = sure.join(left, "ad").join(right, "other")
+    left, right = members.select(F.col("listing_id").alias("p"), F.col("_ad").alias("x")), members.select(F.col("listing_id").alias("q"), F.col("_ad").alias("y"))
+    found = sure.join(left, "x").join(right, "y")
     return found.select(F.least("p", "q").alias("listing_id_a"), F.greatest("p", "q").alias("listing_id_b"), "confidence")

@@ -1,10 +1,12 @@
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from terralume.functions.usable import usable_text
-from terralume.llm import address_match, byte_bpe, canonical_values, entity_match, mixing, shared_spans, survivorship
+from terralume.llm import address_match, byte_bpe, canonical_values, entity_match, entity_vectors, mixing, shared_spans, survivorship
 from terralume.llm.addresses import parse
 
 
@@ -89,14 +91,39 @@ def test_entities_without_house_number(spark):
     assert rows(got) == [(1, 2), (1, 3), (2, 3), (3, 6)]  # numbers, areas and towns that differ still part, once each
 
 
-def test_names_agree_as_their_alignment():
-    rng = random.Random(3)
-    words = ["mercado", "mercdo", "cas", "casa", "bosque", "vale", "c", "doutor", "dr", "padre", "pe"]
-    for _ in range(3000):
-        a = [rng.choice(words) for _ in range(rng.randint(1, 4))]
-        b = [w if rng.random() < 0.7 else rng.choice(words) for w in a] + [rng.choice(words)] * rng.randint(0, 1)
-        want = min(address_match.align(tuple(a), tuple(b)), address_match.align(tuple(b), tuple(a))) <= 0.8
-        assert entity_match.names_agree(" ".join(a), " ".join(b)) == want, (a, b)
+def test_vectors_of_spelling_and_context():
+    records = [{"kind": "rua", "name": f"{w} do vale", "number": "1", "town": "ratuzinho", "quarter": "", "area": 70.0, "bedrooms": 2.0, "bathrooms": 1.0, "suites": None, "floor": None, "property_type": "casa"} for w in ("mercado", "bosque", "igarape", "serra") * 20]
+    u, trained, seen = entity_vectors.start().copy(), *(np.zeros(entity_vectors.BUCKETS + 1) for _ in range(2))
+    entity_vectors._pass(u, trained, seen, {}, [entity_vectors.tokens(r) for r in records], np.random.default_rng(1))
+    assert trained.sum() > 0 and not u[-1].any() and np.isfinite(u).all()
+    used = np.flatnonzero(seen)
+    summed = pd.DataFrame(u[used] * trained[used, None], columns=entity_vectors._COLUMNS).assign(bucket=used, weight=trained[used], seen=seen[used])
+    model = entity_vectors.assemble(pd.concat([summed, pd.DataFrame([{"bucket": -1, "weight": float(len(records)), "seen": 0.0}])]).fillna(0.0))
+    assert model.likeness("word:mercado", "word:mercdo") > model.likeness("word:mercado", "word:igarape")
+    assert model.rarity("word:vale") < model.rarity("word:serra")
+    one, other = records[0], records[0] | {"area": 71.0}
+    assert model.record(one) @ model.record(other) > 0.9
+    nothing = entity_vectors.assemble(pd.DataFrame([], columns=["bucket", "weight", "seen", *entity_vectors._COLUMNS]))
+    assert not nothing.record(one).any()
+
+
+def test_hyperplane_codes_against_all_pairs():
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((400, entity_vectors.DIM))
+    y = x + rng.standard_normal(x.shape) * 0.45  # cosines of about 0.9
+    (a, a2), (b, b2) = (entity_match._codes(v, entity_match._PLANES, entity_match.BITS) for v in (x, y))
+    met = ((a == b) | (a == b2) | (a2 == b)).any(axis=1)
+    assert met.mean() > 0.95
+    assert (a[:200] == b[200:]).any(axis=1).mean() < 0.1
+
+
+def test_calibration_moves_with_its_labels():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(3000, len(entity_match.FEATURES)))
+    y = (rng.random(3000) < 1 / (1 + np.exp(-2 * x[:, 0]))).astype(float)
+    w = entity_match.calibrate(x, y, np.ones(3000))
+    assert abs(w[1] - 2) < 0.3 and abs(w[2]) < 0.3
+    assert np.allclose(entity_match.calibrate(x[:0], y[:0], np.ones(0)), list(entity_match.PRIOR.values()))
 
 
 # -- typed values --------------------------------------------------------------------------------
