@@ -35,6 +35,7 @@ _NUMBER = re.compile(r"(?:\b(?:numero|num|nro|nr|no|n)\.?\s*)?(?<![\d.])(\d{1,3}
 _SPLIT = re.compile(r"\s*,\s*|\s+-\s+|\s*/\s*|\s*;\s*|\s*\|\s*")
 _WORDS = re.compile(r"[a-z0-9]+")
 _STATE_WORDS = {*STATES.values(), *(c.lower() for c in STATES)}
+_MARKS = re.compile("[\u0300-\u036f]+")
 _MISREAD_RE = re.compile("|".join(map(re.escape, _MISREAD)))
 
 
@@ -54,7 +55,10 @@ def fold(text: str | None) -> str:
     low = text.lower().replace("°", "o")
     if "ã" in low or "â" in low:
         low = _MISREAD_RE.sub(lambda m: _MISREAD[m[0]], low)
-    return low if low.isascii() else "".join(c for c in unicodedata.normalize("NFKD", low) if not unicodedata.combining(c))
+    if low.isascii():
+        return low
+    bare = _MARKS.sub("", unicodedata.normalize("NFKD", low))
+    return bare if bare.isascii() else "".join(c for c in bare if not unicodedata.combining(c))
 
 
 @lru_cache(200_000)

@@ -22,7 +22,7 @@ TABLES, BITS = 6, 8
 #: For records without a house number, which have no other part in their keys: fewer tables of more bits.
 BARE_TABLES, BARE_BITS = 4, 12
 #: Of the bits of all tables, those in which two records of one key may differ (a cosine of 0.5 differs in 16 of 48).
-MOST_UNLIKE = 19
+MOST_UNLIKE = 16
 #: Cells of coordinates in degrees, on two grids.
 CELL = 0.004
 #: Areas of one dwelling differ by less than this share.
@@ -37,6 +37,8 @@ PRIOR_WEIGHT = 10.0
 #: as near as those of one building, or so far apart (degrees) that they are of two.
 SAME_UNIT, OTHER_UNIT, NEAR, FAR = 3.0, -12.0, 1.0, -12.0
 NEAR_DEGREES, FAR_DEGREES = 0.002, 0.006
+#: Pairs far apart are none; one in so many, by hash, goes on as a label.
+FAR_SHARE = 16
 #: Cosines of names and of towns below which nothing else can make up for the place.
 LEAST_NAME, LEAST_TOWN = 0.5, 0.3
 NUMBERS = ["bedrooms", "bathrooms", "suites", "floor"]
@@ -49,10 +51,6 @@ _BARE_PLANES = np.random.default_rng(6).standard_normal((BARE_TABLES * BARE_BITS
 
 
 # -- blocking -----------------------------------------------------------------------
-def _records(frame: pd.DataFrame) -> list[dict]:
-    return frame.astype(object).where(frame.notna(), None).to_dict("records")
-
-
 def _codes(vectors: np.ndarray, planes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Of each table the code of each vector, and the code with the least certain bit turned over."""
     side = (vectors @ planes.T).reshape(len(vectors), -1, bits)
@@ -82,7 +80,7 @@ def block_rows(frame: pd.DataFrame, vectors: Vectors, numbered: bool) -> pd.Data
     """
     if not len(frame):
         return pd.DataFrame({"key": np.zeros(0, np.int64), "ad": np.zeros(0, np.int64), "sketch": np.zeros(0, np.int64), "src": np.zeros(0, np.int32)})
-    v = np.stack([vectors.record(r) for r in _records(frame)])
+    v = vectors.records(frame)
     code, probe = _codes(v, _PLANES, BITS)
     area = frame["area"].to_numpy(np.float64)
     scale = np.where(area > 0, np.clip(np.round(np.log(np.where(area > 0, area, 1)) * 100), 1, 1023), 0).astype(np.uint64)
@@ -149,6 +147,8 @@ def name_likeness(a: str, b: str, vectors: Vectors) -> tuple[float, float]:
     x, y = a.split(), b.split()
     if not x or not y:
         return 0.5, 0.5
+    if a == b and all(vectors.token(f"word:{w}").any() for w in x):
+        return 1.0, 1.0
     least, total, weight = 1.0, 0.0, 0.0
     top = max(vectors.rarity(f"word:{w}") for w in x + y) or 1.0
     for own, others in ((x, y), (y, x)):
@@ -160,46 +160,38 @@ def name_likeness(a: str, b: str, vectors: Vectors) -> tuple[float, float]:
     return least, total / (weight or 1.0)
 
 
-def _phrase_likeness(kind: str, a: str, b: str, vectors: Vectors) -> float:
-    """Cosine of two phrases; 0.5 if one of them isn't known."""
-    if not a or not b:
-        return 0.5
-    if a == b:
-        return 1.0 if any(vectors.token(f"{kind}:{w}").any() for w in a.split()) else 0.0
-    x, y = (np.sum([vectors.rarity(f"{kind}:{w}") * vectors.token(f"{kind}:{w}") for w in s.split()], axis=0) for s in (a, b))
-    norm = float(np.linalg.norm(x) * np.linalg.norm(y))
-    return float(x @ y) / norm if norm else 0.0
+def _phrase_likeness(kind: str, a: pd.Series, b: pd.Series, vectors: Vectors) -> np.ndarray:
+    """Cosines of phrases; 0.5 where one of them isn't known."""
+    x, y = (vectors._sums(kind, s) for s in (a, b))
+    norm = np.linalg.norm(x, axis=1) * np.linalg.norm(y, axis=1)
+    cosine = np.einsum("nd,nd->n", x, y) / np.where(norm > 0, norm, 1)
+    return np.where(((a != "") & (b != "")).to_numpy(bool), cosine, 0.5)
 
 
 def features(frame: pd.DataFrame, vectors: Vectors) -> pd.DataFrame:
     """What the curve reads of each pair ``x_*``, ``y_*``: cosines of the vectors, and whether fields agree (1), differ (-1) or aren't known (0)."""
     out: dict[str, np.ndarray] = {}
-    sides = [frame[[f"{s}_{c}" for c in _NAMES]].set_axis(_NAMES, axis=1) for s in "xy"]
-    known: dict[tuple, np.ndarray] = {}
-
-    def vector(r: dict) -> np.ndarray:
-        key = (r["name"], r["town"], r["quarter"], r["area"], r["bedrooms"], r["bathrooms"])
-        if (v := known.get(key)) is None:
-            v = known[key] = vectors.record(r)
-        return v
-
-    x, y = _records(sides[0]), _records(sides[1])
-    out["record"] = np.array([vector(p) @ vector(q) for p, q in zip(x, y, strict=True)], float)
-    names = [name_likeness(p["name"], q["name"], vectors) for p, q in zip(x, y, strict=True)]
-    out["word"], out["name"] = np.array([n[0] for n in names], float), np.array([n[1] for n in names], float)
+    x, y = (frame[[f"{s}_{c}" for c in _NAMES]].set_axis(_NAMES, axis=1) for s in "xy")
+    out["record"] = np.einsum("nd,nd->n", vectors.records(x), vectors.records(y))
+    known: dict[tuple[str, str], tuple[float, float]] = {}
+    names = np.empty((len(frame), 2))
+    for i, pair in enumerate(zip(x["name"], y["name"], strict=True)):
+        got = known.get(pair)
+        if got is None:
+            got = known[pair] = name_likeness(*pair, vectors)
+        names[i] = got
+    out["word"], out["name"] = names[:, 0], names[:, 1]
     for kind in ("town", "quarter"):
-        out[kind] = np.array([_phrase_likeness(kind, p[kind], q[kind], vectors) for p, q in zip(x, y, strict=True)], float)
-    a, b = (s["area"].to_numpy(float) for s in sides)
+        out[kind] = _phrase_likeness(kind, x[kind], y[kind], vectors)
+    a, b = (s["area"].to_numpy(float) for s in (x, y))
     apart = np.abs(a - b) / np.maximum(np.maximum(a, b), 1e-9)
     out["area"] = np.where((a > 0) & (b > 0), np.where(apart <= AREA_TOLERANCE, 1 - 0.5 * apart / AREA_TOLERANCE, -np.minimum(3.0, apart / AREA_TOLERANCE)), 0.0)
-    for c in (*NUMBERS, "condominium", "property_type", "number", "kind"):
-        p, q = sides[0][c], sides[1][c]
+    for c in (*NUMBERS, "condominium", "property_type", "number", "kind", "unit"):
+        p, q = x[c], y[c]
         both = (p.notna() & q.notna() & (p != "") & (q != "")).to_numpy(bool)
         out[c] = np.where(both, np.where((p == q).to_numpy(bool), 1.0, -1.0), 0.0)
-    far = np.maximum(np.abs(sides[0]["lat"].to_numpy(float) - sides[1]["lat"].to_numpy(float)), np.abs(sides[0]["lon"].to_numpy(float) - sides[1]["lon"].to_numpy(float)))
+    far = np.maximum(np.abs(x["lat"].to_numpy(float) - y["lat"].to_numpy(float)), np.abs(x["lon"].to_numpy(float) - y["lon"].to_numpy(float)))
     out["apart"] = np.where(np.isfinite(far), far, -1.0)
-    p, q = sides[0]["unit"], sides[1]["unit"]
-    out["unit"] = np.where(((p != "") & (q != "")).to_numpy(bool), np.where((p == q).to_numpy(bool), 1.0, -1.0), 0.0)
     return pd.DataFrame(out)[[*FEATURES, "unit", "apart"]]
 
 
@@ -290,10 +282,18 @@ def _bounded_sample(df: DataFrame, order: F.Column, n: int) -> pd.DataFrame:
     return cut(thin.orderBy(F.pmod(order, F.lit(1 << 30)), *df.columns[:2]).limit(n)).toPandas()
 
 
+def _possible() -> F.Column:
+    """Pairs ``x``, ``y`` that may be one dwelling, and a share of those too far apart for it, as labels."""
+    apart = F.greatest(F.abs(F.col("x.lat") - F.col("y.lat")), F.abs(F.col("x.lon") - F.col("y.lon")))
+    sized = F.coalesce(F.abs(F.col("x.area") - F.col("y.area")) <= AREA_TOLERANCE * F.greatest("x.area", "y.area"), F.lit(True)) | ((F.col("x.unit") != "") & (F.col("x.unit") == F.col("y.unit")))
+    label = F.pmod(F.xxhash64("ad", "other"), F.lit(FAR_SHARE)) == 0
+    return sized & (F.coalesce(apart <= FAR_DEGREES, F.lit(True)) | label)
+
+
 def judged_pairs(ads: DataFrame, vectors: object) -> DataFrame:
     """``ad, other``, the features of each candidate pair, and ``unit``: 1 the same, -1 another, 0 not known."""
     sides = [ads.select(F.col("_id").alias(k), F.struct(*_NAMES).alias(s)) for k, s in (("ad", "x"), ("other", "y"))]
-    both = candidate_pairs(ads, vectors).join(sides[0], "ad").join(sides[1], "other")
+    both = candidate_pairs(ads, vectors).join(sides[0], "ad").join(sides[1], "other").where(_possible())
     flat = both.select("ad", "other", *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in _NAMES])
 
     def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -313,7 +313,7 @@ def _match(rows: DataFrame, least: float) -> DataFrame:
     labelled = _bounded_sample(judged.where((F.col("unit") != 0) | far), F.xxhash64("ad", "other"), CALIBRATION_PAIRS)
     # pairs labelled by their coordinates alone count as often as pairs that name units are among all
     same = ((labelled["unit"] > 0) & (labelled["apart"] <= FAR_DEGREES)).to_numpy(float)
-    weights = calibrate(labelled[FEATURES].to_numpy(float), same, np.where(labelled["unit"] != 0, 1.0, known))
+    weights = calibrate(labelled[FEATURES].to_numpy(float), same, np.where(labelled["unit"] != 0, 1.0, known) * np.where(labelled["apart"] > FAR_DEGREES, FAR_SHARE, 1.0))
     odds = F.lit(float(weights[0]))
     for f, w in zip(FEATURES, weights[1:], strict=True):
         odds = odds + float(w) * F.col(f)

@@ -94,17 +94,18 @@ def test_entities_without_house_number(spark):
 def test_vectors_of_spelling_and_context():
     records = [{"kind": "rua", "name": f"{w} do vale", "number": "1", "town": "ratuzinho", "quarter": "", "area": 70.0, "bedrooms": 2.0, "bathrooms": 1.0, "suites": None, "floor": None, "property_type": "casa"} for w in ("mercado", "bosque", "igarape", "serra") * 20]
     u, trained, seen = entity_vectors.start().copy(), *(np.zeros(entity_vectors.BUCKETS + 1) for _ in range(2))
-    entity_vectors._pass(u, trained, seen, {}, [entity_vectors.tokens(r) for r in records], np.random.default_rng(1))
+    frame = pd.DataFrame(records).astype({c: float for c in ("suites", "floor")})
+    assert entity_vectors.descend(u, trained, seen, {}, frame, np.random.default_rng(1)) == len(records)
     assert trained.sum() > 0 and not u[-1].any() and np.isfinite(u).all()
     used = np.flatnonzero(seen)
     summed = pd.DataFrame(u[used] * trained[used, None], columns=entity_vectors._COLUMNS).assign(bucket=used, weight=trained[used], seen=seen[used])
     model = entity_vectors.assemble(pd.concat([summed, pd.DataFrame([{"bucket": -1, "weight": float(len(records)), "seen": 0.0}])]).fillna(0.0))
     assert model.likeness("word:mercado", "word:mercdo") > model.likeness("word:mercado", "word:igarape")
     assert model.rarity("word:vale") < model.rarity("word:serra")
-    one, other = records[0], records[0] | {"area": 71.0}
-    assert model.record(one) @ model.record(other) > 0.9
+    one, other = model.records(pd.concat([frame[:1], frame[:1].assign(area=71.0)], ignore_index=True))
+    assert one @ other > 0.9
     nothing = entity_vectors.assemble(pd.DataFrame([], columns=["bucket", "weight", "seen", *entity_vectors._COLUMNS]))
-    assert not nothing.record(one).any()
+    assert not nothing.records(frame).any()
 
 
 def test_hyperplane_codes_against_all_pairs():
