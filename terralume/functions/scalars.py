@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from terralume.functions.places import STATES
 from terralume.functions.usable import fold
 
 PLAIN_NUMBER = r"^\s*-?\d+(\.\d+)?\s*$"
@@ -137,6 +138,41 @@ def business_from_url(url: Column) -> Column:
     return F.when(url.rlike("/aluguel/|/alugar/|/alugar$|/aluga-"), "rent").when(url.rlike("/venda/|/comprar/|/comprar$|/venda-"), "sale")
 
 
+def flow_from_url(url: Column) -> Column:
+    """rent or sale from the path of a URL, else from words in it that only one of the two has."""
+    low = F.lower(url)
+    words = token(low)
+    rent, sale = words.rlike("aluguel|locacao|para-alugar|para-locar"), words.contains("venda")
+    return F.when(low.contains("/aluguel/"), "rent").when(low.contains("/venda/"), "sale").when(rent & ~sale, "rent").when(sale & ~rent, "sale")
+
+
+def slug_business(url: Column) -> Column:
+    """rent or sale from the word that the last part of a listing's path begins with."""
+    word = F.regexp_extract(url, r"/imovel/[^/?#]+/(aluguel|venda)", 1)
+    return F.when(word == "aluguel", "rent").when(word == "venda", "sale")
+
+
+def price(text: Column) -> Column:
+    """A price: plain numbers are cut to whole ones, other texts give their digits; null without any, and for flags."""
+    return F.when(F.lower(F.trim(text)).isin("true", "false"), F.lit(None).cast("bigint")).otherwise(to_int(text))
+
+
+def first_zip(*texts: Column) -> Column:
+    """The first zip code found in the texts, with dash."""
+    return F.coalesce(*[zip_dashed(t) for t in texts])
+
+
+def state_slug(text: Column) -> Column:
+    """The slug of a state: abbreviations are written out."""
+    names = F.create_map(*[x for code, name in STATES.items() for x in (F.lit(code), F.lit(name.replace(" ", "-")))])
+    return F.coalesce(F.try_element_at(names, F.upper(F.trim(text))), slug(text))
+
+
+def labelled_money(text: Column, label: str) -> Column:
+    """The amount behind ``label: R$``; null if there is none."""
+    return digits_int(F.nullif(F.regexp_extract(text, rf"(?i){label}[^:]*:\s*R\$\s*([\d.]+)", 1), F.lit("")))
+
+
 def id_from_url(url: Column) -> Column:
     """``/imovel/<id>``, or the digits at the end of the path."""
     return F.coalesce(F.nullif(F.regexp_extract(url, r"/imovel/([^/?#]+)", 1), F.lit("")), F.nullif(F.regexp_extract(url, r"-(\d{6,})(?:[?#].*)?$", 1), F.lit("")))

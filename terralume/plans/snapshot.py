@@ -31,11 +31,11 @@ def unified(listings: DataFrame, ordinal: str = "_ord") -> tuple[DataFrame, Data
     return flagged, properties, flagged.select(*LINK_COLUMNS)
 
 
-def snapshot(listings: DataFrame, ordinal: str = "_ord") -> dict[str, DataFrame]:
+def snapshot(listings: DataFrame, ordinal: str = "_ord", keep_ordinal: bool = False) -> dict[str, DataFrame]:
     """The three tables of a day. Prices, flags and mode of the entity replace the row's own, which stay as ``listing_*``."""
     flagged, properties, links = unified(listings, ordinal)
     rows = resolve.propagate(flagged, properties.select("canonical_property_id", *PROPAGATED), "canonical_property_id", PROPAGATED)
-    return {"listings": rows.drop(ordinal), "properties": properties, "links": links}
+    return {"listings": rows if keep_ordinal else rows.drop(ordinal), "properties": properties, "links": links}
 
 
 def update_history(existing: DataFrame, incoming: DataFrame, run_at: Column, ordinal: str = "_ord") -> tuple[dict[str, DataFrame], DataFrame]:

@@ -8,11 +8,14 @@ import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
+from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terralume.functions.scalars import absolute_url, digits_int
+
 Json = object
 
 
@@ -161,17 +164,13 @@ def _house_payload(page: str) -> Json:
     return {"house": house, "i": dig(house, "houseInfo") or {}, "described": described(page)} if isinstance(house, dict) else None
 
 
-def _paths(prefixes: str, names: str) -> list[str]:
-    return [f"{p}.{n}" if p else n for p in prefixes.split("|") for n in names.split("|")]
-
-
 #: Where each source's pages hold the fields of a record.
 _CARD = {
-    "property_id": _paths("page.detail|detail|", "list_id") + _paths("page.adDetail|adDetail", "listId|list_id") + ["listId"], "ad_id": _paths("page.detail|detail|", "ad_id") + _paths("page.adDetail|adDetail", "adId|ad_id"),
-    "zipcode": _paths("page.detail|detail||page.adDetail|adDetail", "zipcode|zipCode|postalCode") + ["page.adDetail.street", "html"], "listing_created_at": _paths("page.detail|detail|", "adDate") + ["page.adDetail.origListTime"],
-    "amenities_json": ["page.adProperties", "adProperties"], "property_type": ["page.adDetail.subCategory", "adDetail.subCategory", "subCategory", "subCategoryId"], "price": _paths("page.detail|detail|", "price"),
-    "description": ["ad.body", "ad.description", "described", *_paths("page.adDetail|page.detail|detail|", "body|description")], "street": ["page.adDetail.street", "adDetail.street"], "city": ["page.adDetail.municipality", "adDetail.municipality", "municipality"],
-    "state": ["page.adDetail.state", "page.state", "state"], "neighbourhood": ["page.adDetail.neighbourhood", "neighbourhood"], "lat": _paths("page.adDetail|adDetail", "listLat|lat"), "lon": _paths("page.adDetail|adDetail", "listLon|lon"),
+    "property_id": ["page.detail.list_id", "detail.list_id", "list_id", "page.adDetail.listId", "page.adDetail.list_id", "adDetail.listId", "adDetail.list_id", "listId"], "ad_id": ["page.detail.ad_id", "detail.ad_id", "ad_id", "page.adDetail.adId", "page.adDetail.ad_id", "adDetail.adId", "adDetail.ad_id"],
+    "zipcode": ["page.detail.zipcode", "page.detail.zipCode", "page.detail.postalCode", "detail.zipcode", "detail.zipCode", "detail.postalCode", "zipcode", "zipCode", "postalCode", "page.adDetail.zipcode", "page.adDetail.zipCode", "page.adDetail.postalCode", "adDetail.zipcode", "adDetail.zipCode", "adDetail.postalCode", "page.adDetail.street", "html"], "listing_created_at": ["page.detail.adDate", "detail.adDate", "adDate", "page.adDetail.origListTime"],
+    "amenities_json": ["page.adProperties", "adProperties"], "property_type": ["page.adDetail.subCategory", "adDetail.subCategory", "subCategory", "subCategoryId"], "price": ["page.detail.price", "detail.price", "price"],
+    "description": ["ad.body", "ad.description", "described", "page.adDetail.body", "page.adDetail.description", "page.detail.body", "page.detail.description", "detail.body", "detail.description", "body", "description"], "street": ["page.adDetail.street", "adDetail.street"], "city": ["page.adDetail.municipality", "adDetail.municipality", "municipality"],
+    "state": ["page.adDetail.state", "page.state", "state"], "neighbourhood": ["page.adDetail.neighbourhood", "neighbourhood"], "lat": ["page.adDetail.listLat", "page.adDetail.lat", "adDetail.listLat", "adDetail.lat"], "lon": ["page.adDetail.listLon", "page.adDetail.lon", "adDetail.listLon", "adDetail.lon"],
 } | {f: [f"{p}[name={n}].value" for p in ("page.adProperties", "adProperties") for n in names] for f, names in {
     "real_estate_type": ["real_estate_type"], "total_area_m2": ["size"], "bedrooms": ["rooms"], "bathrooms": ["bathrooms"], "parking": ["garage_spaces"], "suites": ["suites"], "floor": ["floor"], "condo_fee_brl": ["condominium", "condominio", "condo_fee", "condominium_fee"], "iptu_brl": ["iptu"],
 }.items()}
@@ -241,55 +240,123 @@ def parse_pages(df: DataFrame, source: str, html: str, url: str, business_type:
 
 
 # -- pages of cards --------------------------------------------------------------------------
-class _Cards(HTMLParser):
-    """Links to listings with the texts of the card they stand in: the innermost section, article, li or marked div."""
+#: How classes of the list of cards and of a card's three parts begin.
+_LIST, _TOP, _MIDDLE, _BOTTOM, _DATE = "AdListing_adListContainer", "olx-adcard__topbody", "olx-adcard__mediumbody", "olx-adcard__bottombody", "adcard__date"
+_VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
+
+
+class _Node:
+    """An element with its texts and elements in order."""
+
+    __slots__ = ("tag", "given", "parent", "inside")
+
+    def __init__(self, tag: str, given: dict, parent: _Node | None):
+        self.tag, self.given, self.parent, self.inside = tag, given, parent, []
+
+    def classed(self, part: str) -> bool:
+        return part in (self.given.get("class") or "")
+
+    def elements(self) -> Iterator[_Node]:
+        """This element and all in it, in order of the page."""
+        stack = [self]
+        while stack:
+            top = stack.pop()
+            yield top
+            stack.extend(reversed([x for x in top.inside if isinstance(x, _Node)]))
 
+    def texts(self) -> Iterator[str]:
+        stack: list[_Node | str] = [self]
+        while stack:
+            top = stack.pop()
+            if isinstance(top, _Node):
+                stack.extend(reversed(top.inside))
+            elif top.strip():
+                yield top.strip()
+
+
+class _Tree(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, dict | None]] = []
-        self.cards: list[dict] = []
+        self.root = self.at = _Node("", {}, None)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        given = dict(attrs)
-        card = None
-        if tag in ("section", "article", "li") or (given.get("class") or "").startswith("AdListing_adListContainer"):
-            card = {"href": None, "texts": [], "title": None}
-            self.cards.append(card)
-        if tag not in ("br", "img", "input", "meta", "link", "hr", "source"):
-            self.stack.append((tag, card))
-        inner = next((c for _, c in reversed(self.stack) if c is not None), None)
-        if tag == "a" and inner is not None and re.search(r"/imoveis/.+-\d{6,}", given.get("href") or "") and not inner["href"]:
-            inner["href"], inner["title"] = given["href"], given.get("title")
+        node = _Node(tag, dict(attrs), self.at)
+        self.at.inside.append(node)
+        if tag not in _VOID:
+            self.at = node
 
     def handle_endtag(self, tag: str) -> None:
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                del self.stack[i:]
-                break
+        open_ = self.at
+        while open_ is not None and open_.tag != tag:
+            open_ = open_.parent
+        if open_ is not None and open_.parent is not None:
+            self.at = open_.parent
 
     def handle_data(self, data: str) -> None:
-        inner = next((c for _, c in reversed(self.stack) if c is not None), None)
-        if inner is not None and data.strip():
-            inner["texts"].append((self.stack[-1][0], data.strip()))
+        self.at.inside.append(data)
+
+
+def _card_of(top: _Node, within: _Node) -> _Node:
+    """The smallest element around a top part that holds a middle and a bottom part; else the largest below the list that holds one of them."""
+    best, at = top, top
+    while at.parent is not None and at.parent is not within:
+        at = at.parent
+        parts = [any(x.classed(part) for x in at.elements()) for part in (_MIDDLE, _BOTTOM)]
+        if all(parts):
+            return at
+        if any(parts):
+            best = at
+    return best
 
 
 def parse_cards(page: str | None) -> list[dict[str, str | None]]:
-    """``listing_url, price_text, raw_card_date_text, title`` of each listing on a page, first card of a URL."""
-    parser = _Cards()
-    parser.feed(page or "")
+    """``listing_url, price_text, raw_card_date_text, title`` of each card in the first list of a page, first card of a URL.
+
+    A card has a top part with the link and title, a middle part with the price, a bottom part with the date; what a card doesn't have
+    is null. Cards without a link to a listing are passed over, and so are pages without a list.
+    """
+    tree = _Tree()
+    tree.feed(page or "")
+    within = next((x for x in tree.root.elements() if x.classed(_LIST)), None)
     out: dict[str, dict] = {}
-    for card in parser.cards:
-        if card["href"] and card["href"] not in out:
-            texts = [t for _, t in card["texts"]]
-            out[card["href"]] = {
-                "listing_url": card["href"],
-                "price_text": next((t for t in texts if re.match(r"R\$\s*\d", t)), None),
-                "raw_card_date_text": next((t for t in texts if re.match(r"(?i)(hoje|ontem|\d{1,2} de \w{3,}),\s*\d{1,2}:\d{2}", t)), None),
-                "title": next((t for tag, t in card["texts"] if tag in ("h2", "h3")), card["title"]),
-            }
+    for top in [] if within is None else [x for x in within.elements() if x.classed(_TOP) and x.given.get("data-mode") == "horizontal"]:
+        link = next((x for x in top.elements() if x.tag == "a" and "/imoveis/" in (x.given.get("href") or "")), None)
+        if link is None or not re.search(r"/imoveis/.+-\d{6,}", link.given["href"]) or link.given["href"] in out:
+            continue
+        card = _card_of(top, within)
+        part = lambda name, card=card: [t for x in card.elements() if x.classed(name) for t in x.texts()]
+        price = next((m[0] for t in part(_MIDDLE) if (m := re.search(r"(?i)R\$\s*[\d.,]+", t))), None)
+        dates = [t for x in card.elements() if x.classed(_BOTTOM) for y in x.elements() if y.classed(_DATE) for t in y.texts()]
+        out[link.given["href"]] = {"listing_url": link.given["href"], "price_text": price, "raw_card_date_text": next(iter(dates), None), "title": next(link.texts(), None) or next(top.texts(), None)}
     return list(out.values())
 
 
+def parse_card_pages(df: DataFrame, html: str, keys: list[str], base: str = "https://www.olx.com.br") -> DataFrame:
+    """The cards of each page with ``keys`` of the page, ``position`` on it, absolute ``listing_url``, ``price_brl`` and texts."""
+    kinds = dict(df.dtypes)
+    narrow = df.select(*keys, F.col(html).alias("_html"))
+    fields = ["listing_url", "price_text", "raw_card_date_text", "title"]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            found = [(i, n, card) for i, page in enumerate(frame["_html"]) for n, card in enumerate(parse_cards(page))]
+            out = frame[keys].iloc[[i for i, _, _ in found]].reset_index(drop=True)
+            out["position"] = [n for _, n, _ in found]
+            for f in fields:
+                out[f] = pd.Series([card[f] for _, _, card in found], dtype=object)
+            yield out
+
+    cards = narrow.mapInPandas(run, ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), "position bigint", *(f"{f} string" for f in fields)]))
+    return cards.withColumns({"listing_url": absolute_url(base, F.col("listing_url")), "price_brl": digits_int(F.col("price_text"))}).drop("price_text")
+
+
+def picture_urls(pictures: Json, base: str = "https://www.olx.com.br") -> list[str]:
+    """Addresses of pictures: of each object the first of its kinds that is there, of a text itself."""
+    order = ("original", "large", "medium", "link", "url", "src")
+    found = [next((p[k] for k in order if p.get(k)), None) if isinstance(p, dict) else p for p in pictures] if isinstance(pictures, list) else []
+    return [urljoin(base, p) for p in found if isinstance(p, str) and p]
+
+
 def parse_address_page(page: str | None, zip_code: str) -> dict[str, str] | None:
     """``street · neighbourhood · city/UF`` of a page about a zip code: the first, if the code is on the page or there is no other."""
     found = [p for p in (re.split(r"\s*·\s*", t) for t in re.findall(r"[^<>]+·[^<>]+/[A-Z]{2}", page or "")) if len(p) == 3]

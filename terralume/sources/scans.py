@@ -144,6 +144,12 @@ def read_sitemap(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.trim("loc").alias("loc"), F.nullif(F.trim("lastmod"), F.lit("")).alias("lastmod")).where(F.col("loc") != "")
 
 
+def read_sitemap_index(spark: SparkSession, path: str, source: str) -> DataFrame:
+    """``loc, lastmod`` of the sitemaps of listings that an index names."""
+    df = spark.read.format("xml").option("rowTag", "sitemap").schema("loc string, lastmod string").load(path)
+    return df.select(F.trim("loc").alias("loc"), F.nullif(F.trim("lastmod"), F.lit("")).alias("lastmod")).where(F.col("loc").rlike(LISTING_SITEMAPS[source]))
+
+
 LISTING_SITEMAPS = {"lopes": r"/sitemap-imoveis(-\d+)?\.xml$", "quinto": r"/sitemap-v2-listings-part-\d+\.xml$"}
 
 

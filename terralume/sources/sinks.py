@@ -52,6 +52,23 @@ def export_csv_file(df: DataFrame, path: str) -> None:
     os.replace(part, path)
 
 
+def write_zip_cache(entries: DataFrame, path: str) -> None:
+    """A cache file, one JSON object by zip code, from ``zip, entry``; written as one file, row by row, and swapped in whole."""
+    os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
+    with open(f"{path}.tmp", "w", encoding="utf-8") as file:
+        file.write("{")
+        for i, row in enumerate(entries.orderBy("zip").toLocalIterator(prefetchPartitions=False)):
+            file.write(("," if i else "") + "\n" + json.dumps(row["zip"]) + ": " + row["entry"])
+        file.write("\n}\n")
+    os.replace(f"{path}.tmp", path)
+
+
+def write_rejects(rejected: DataFrame, path: str) -> None:
+    """Rejected cards in the seven columns of their file; a table without rows leaves its header."""
+    columns = ["flow", "invalid_reason", "listing_url", "price_brl", "listing_posted_at", "raw_card_date_text", "title"]
+    export_csv_file(rejected.select(*[F.col(c) if c in rejected.columns else F.lit(None).cast("string").alias(c) for c in columns]), path)
+
+
 def append_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 

@@ -4,10 +4,10 @@ from terralume.sources import pages
 
 
 def test_card_source_detail():
-    layer = [{"page": {"detail": {"list_id": 1234567, "ad_id": 9, "adDate": "1775455573", "price": "1800", "zipcode": "04567000"}, "adDetail": {"municipality": "Sao Paulo", "street": "Rua }]; A", "subCategory": "Casas"}, "adProperties": [{"name": "rooms", "value": "2"}, {"name": "condominio", "value": "R$ 5"}]}}]
+    layer = [{"page": {"detail": {"list_id": 7654321, "ad_id": 9, "adDate": "1700000000", "price": "1800", "zipcode": "01310200"}, "adDetail": {"municipality": "Sao Paulo", "street": "Rua }]; A", "subCategory": "Casas"}, "adProperties": [{"name": "rooms", "value": "2"}, {"name": "condominio", "value": "R$ 5"}]}}]
     html = f"<script>window.dataLayer = {json.dumps(layer)};</script><meta property='og:description' content='Um &amp; dois'>"
-    r = pages.parse_page("olx", html, "https://sp.olx.com.br/x/aluguel/casa-1234567")
-    assert (r["property_id"], r["ad_id"], r["listing_created_at"], r["zipcode"], r["bedrooms"], r["condo_fee_brl"], r["description"], r["business_type"], r["street"]) == ("1234567", "9", "2026-04-06T06:06:13+00:00", "04567-000", "2", "R$ 5", "Um & dois", "rent", "Rua }]; A")
+    r = pages.parse_page("olx", html, "https://sp.olx.com.br/x/aluguel/casa-7654321")
+    assert (r["property_id"], r["ad_id"], r["listing_created_at"], r["zipcode"], r["bedrooms"], r["condo_fee_brl"], r["description"], r["business_type"], r["street"]) == ("7654321", "9", "2023-11-14T22:13:20+00:00", "01310-200", "2", "R$ 5", "Um & dois", "rent", "Rua }]; A")
     assert pages.parse_page("olx", "<html>", "u") == {} and pages.parse_page("olx", None) == {}
 
 
@@ -18,18 +18,33 @@ def test_nested_source_detail():
 
 
 def test_house_source_detail():
-    info = {"forRent": True, "forSale": True, "parkingSpots": 0, "garageSpots": 2, "hasFurniture": False, "address": {"address": "Rua B", "zipCode": "04567000"}, "listings": [{"businessContext": "SALE", "status": "on"}, {"businessContext": "RENT", "status": "off"}], "generatedDescription": {"shortRentDescription": "curto"}}
+    info = {"forRent": True, "forSale": True, "parkingSpots": 0, "garageSpots": 2, "hasFurniture": False, "address": {"address": "Rua B", "zipCode": "01310200"}, "listings": [{"businessContext": "SALE", "status": "on"}, {"businessContext": "RENT", "status": "off"}], "generatedDescription": {"shortRentDescription": "curto"}}
     page = f'<script id="__NEXT_DATA__" type="application/json">{json.dumps({"props": {"pageProps": {"initialState": {"house": {"houseInfo": info}}}}})}</script>'
     r = pages.parse_page("quinto", page, "https://h/imovel/892/comprar/")
-    assert (r["business_type"], r["property_id"], r["parking_spots"], r["sale_listing_status"], r["rent_listing_status"], r["description"], r["furnished"], r["zipcode"]) == ("rent|sale", "892", "2", "on", "off", "curto", "False", "04567-000")
+    assert (r["business_type"], r["property_id"], r["parking_spots"], r["sale_listing_status"], r["rent_listing_status"], r["description"], r["furnished"], r["zipcode"]) == ("rent|sale", "892", "2", "on", "off", "curto", "False", "01310-200")
 
 
-def test_cards_and_addresses():
-    card = '<section class="AdListing_adListContainer__x"><a href="https://h/imoveis/casa-123456" title="T"><h2>Casa boa</h2></a><div><h3>R$ 1.800</h3><p>Hoje, 10:16</p></div></section>'
-    assert pages.parse_cards(card + card) == [{"listing_url": "https://h/imoveis/casa-123456", "price_text": "R$ 1.800", "raw_card_date_text": "Hoje, 10:16", "title": "Casa boa"}]
-    assert pages.parse_cards("") == []
-    assert pages.parse_address_page("<p>Rua A · Centro · Cidade X/SP</p> 04567-000", "04567000") == {"street": "Rua A", "neighbourhood": "Centro", "city": "Cidade X", "state": "SP"}
-    assert pages.parse_address_page("<p>nada</p>", "04567000") is None
+def card(n, parts="tmb", extra=""):
+    top = f'<div class="olx-adcard__topbody" data-mode="horizontal"><a href="/imoveis/casa-{n:07d}"><h2>Casa {n}</h2></a></div>'
+    middle = f'<div class="olx-adcard__mediumbody"><span>condomínio</span><h3>R$ {n}.800</h3></div>'
+    bottom = '<div class="olx-adcard__bottombody"><p class="typo olx-adcard__date">Hoje, 10:16</p></div>'
+    return f'<div class="olx-adcard"><div>{top if "t" in parts else ""}{middle if "m" in parts else ""}</div>{bottom if "b" in parts else ""}{extra}</div>'
+
+
+def test_cards_of_one_list():
+    page = '<div class="AdListing_adListContainer__x">' + card(1) + card(2) + card(1) + card(3, "tm") + card(4, "mb") + card(5, "tb", "<br><p>") + "</div>" + card(9)
+    got = pages.parse_cards(page)
+    assert [(c["listing_url"], c["price_text"], c["raw_card_date_text"], c["title"]) for c in got] == [
+        ("/imoveis/casa-0000001", "R$ 1.800", "Hoje, 10:16", "Casa 1"), ("/imoveis/casa-0000002", "R$ 2.800", "Hoje, 10:16", "Casa 2"),
+        ("/imoveis/casa-0000003", "R$ 3.800", None, "Casa 3"), ("/imoveis/casa-0000005", None, "Hoje, 10:16", "Casa 5"),
+    ]
+    assert pages.parse_cards("") == pages.parse_cards(card(1)) == []
+    assert pages.picture_urls([{"medium": "/m.jpg", "url": "u"}, "//h/p.png", 3, {}]) == ["https://www.olx.com.br/m.jpg", "https://h/p.png"] and pages.picture_urls(4) == []
+
+
+def test_address_page():
+    assert pages.parse_address_page("<p>Rua A · Centro · Cidade X/SP</p> 01310-200", "01310200") == {"street": "Rua A", "neighbourhood": "Centro", "city": "Cidade X", "state": "SP"}
+    assert pages.parse_address_page("<p>nada</p>", "01310200") is None
 
 
 def test_pages_as_a_frame(spark):
