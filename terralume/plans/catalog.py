@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,11 +9,8 @@ from pyspark.sql import functions as F
 
 from terralume.functions import jsonx
 from terralume.functions import scalars as S
-from terralume.functions.lineage import checkpoint_root
 from terralume.operators import enrich, incremental, latest, quality, resolve
 from terralume.plans import normalize, snapshot
-from terralume.sources import scans
-from terralume.streaming import delta
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -293,15 +287,6 @@ def geocode_queries(spark, directory):
     return _t(spark, directory, "zipcode_enrichment").select("enrichment_id", enrich.geocode_query("street", "neighbourhood", "city", "state").alias("q"))
 
 
-@query()
-def zip_lookup_chain(spark, directory):
-    z = _t(spark, directory, "zipcode_enrichment").withColumn("zip", S.zip_digits(F.col("zip_code"))).where("zip is not null")
-    cache = z.select("zip", *enrich.FIELDS, "source", "failed")
-    dimension = scans.zip_reference(_t(spark, directory, "cepaberto").withColumn("n", F.xxhash64("cep", "logradouro")), "n").withColumn("source", F.lit("cepaberto"))
-    wanted = _t(spark, directory, "listings").select(S.zip_digits(F.col("zip_code")).alias("zip"))
-    return enrich.lookup_chain(wanted, cache, dimension, dimension.limit(0), "zip")
-
-
 @query(r"""select cep, try_cast(nullif(regexp_extract(centroide, 'POINT\s*\(\s*(-?\d+(?:\.\d+)?)\s+(-?\d+(?:\.\d+)?)\s*\)', 2), '') as double) lat, try_cast(nullif(regexp_extract(centroide, 'POINT\s*\(\s*(-?\d+(?:\.\d+)?)\s+(-?\d+(?:\.\d+)?)\s*\)', 1), '') as double) lon from cepaberto""")
 def parse_point(spark, directory):
     lat, lon = S.point(F.col("centroide"))
@@ -388,12 +373,6 @@ def dead_letter(spark, directory):
     return valid.withColumn("invalid_reason", F.lit(None).cast("string")).unionByName(rejected).groupBy("invalid_reason").agg(F.count("*").alias("n"))
 
 
-@query("""select count(*) as rows, bool_and(listing_id is not null) has_id, bool_and(coalesce(regexp_matches(source, '\\S'), false)) has_source, bool_and(coalesce(sale_price_brl, rent_price_brl, 0) >= -1) price_sane from listings""")
-def quality_report(spark, directory):
-    c = F.col
-    return quality.row_checks(_t(spark, directory, "listings"), {"has_id": c("listing_id").isNotNull(), "has_source": c("source").rlike(r"\S"), "price_sane": F.coalesce("sale_price_brl", "rent_price_brl", F.lit(0)) >= -1})
-
-
 @query("select source, business_type, property_id, count(*) n from listings group by 1, 2, 3 having count(*) > 1")
 def duplicate_keys(spark, directory):
     return quality.duplicate_keys(_t(spark, directory, "listings"), snapshot.UPSERT_KEY)
@@ -417,41 +396,3 @@ def key_sets(spark, directory):
     side = lambda t, n: _t(spark, directory, t).select("property_id", F.lit(n).alias("s"))
     seen = side("listings", 0).unionByName(side("listings_unificados", 1)).groupBy("property_id").agg(F.min("s").alias("lo"), F.max("s").alias("hi"))
     return seen.agg(F.count("*").alias("n_union"), F.count_if(F.expr("lo <> hi")).alias("n_both"), F.count_if(F.expr("hi = 0")).alias("n_only"))
-
-
-@query("""select listing_id::bigint _ord, source, coalesce(nullif(business_type,''),'sale') business_type, coalesce(property_id,'') property_id, coalesce(nullif(street,''), nullif(address,'')) address, area_m2, coalesce(total_area_m2, area_m2) total_area_m2, bedrooms, sale_price_brl, coalesce(nullif(sale_price_brl,0), rent_price_brl) total_price_brl, furnished
-    from (select * replace (nullif(source,'') as source, case when area_m2 is null then total_area_m2 else area_m2 end as area_m2) from listings)""")
-def normalize_records(spark, directory):
-    raw = _t(spark, directory, "listings")
-    text = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns], F.col("listing_id").alias("_ord")).drop("listing_id")
-    out = normalize.normalize(text, F.lit("2026-01-01T00:00:00+00:00"))
-    return out.select("_ord", "source", "business_type", "property_id", "address", "area_m2", "total_area_m2", "bedrooms", "sale_price_brl", "total_price_brl", "furnished")
-
-
-# -- streams ---------------------------------------------------------------------------------------
-def _stream(spark, directory, name):
-    schema = spark.read.parquet(f"{directory}/{name}.parquet").schema
-    # a folder of links, as a stream reads folders
-    folder = tempfile.mkdtemp(prefix="terralume-stream-")
-    path = f"{directory}/{name}.parquet"
-    os.makedirs(f"{folder}/in")
-    for p in [path] if os.path.isfile(path) else [os.path.join(path, f) for f in sorted(os.listdir(path)) if f.endswith(".parquet")]:
-        os.symlink(os.path.realpath(p), f"{folder}/in/{os.path.basename(p)}")
-    return spark.readStream.schema(schema).parquet(f"{folder}/in"), folder
-
-
-def _run_stream(df: DataFrame, mode: str, folder: str) -> DataFrame:
-    spark = df.sparkSession
-    out = f"{checkpoint_root(spark)}/stream-{os.path.basename(folder)}"
-    df.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", f"{out}/state").option("path", f"{out}/rows").trigger(availableNow=True).start().awaitTermination()
-    shutil.rmtree(folder, ignore_errors=True)
-    return spark.read.parquet(f"{out}/rows")
-
-
-@query("""with s as (select user_id, event_type, event_id, lag(event_type) over (partition by user_id order by event_id) p, row_number() over (partition by user_id order by event_id) n from events)
-    select user_id, event_type, event_id, case when n = 1 then 'new' when p = event_type then 'unchanged' else 'updated' end change from s""")
-def stream_delta(spark, directory):
-    stream, folder = _stream(spark, directory, "events")
-    return _run_stream(delta.stream_changes(stream, "user_id", "event_type", "event_id"), "append", folder)
-
-

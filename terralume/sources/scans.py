@@ -106,9 +106,10 @@ CACHE_ENTRY = "struct<street:string,neighbourhood:string,city:string,state:strin
 
 def zip_cache(spark: SparkSession, path: str) -> DataFrame:
     """A cache file (one JSON object by code) as rows; an unreadable one is empty, entries that are no objects are left out."""
-    text = spark.read.option("wholetext", True).text(path)
-    entries = text.select(F.explode(F.coalesce(F.try_variant_get(F.try_parse_json("value"), "$", "map<string,variant>"), F.create_map().cast("map<string,variant>"))).alias("k", "v"))
-    parsed = entries.where(F.schema_of_variant("v").startswith("OBJECT")).select(zip_digits(F.col("k")).alias("zip"), F.from_json(F.to_json("v"), CACHE_ENTRY).alias("e")).where(F.col("zip").isNotNull())
+    text = spark.read.text(path, wholetext=True)
+    # values as their JSON text: a variant has a largest size, a file of many codes is larger
+    entries = text.select(F.explode(F.coalesce(F.from_json("value", "map<string,string>", {"mode": "PERMISSIVE"}), F.create_map().cast("map<string,string>"))).alias("k", "v"))
+    parsed = entries.where(F.col("v").startswith("{")).select(zip_digits(F.col("k")).alias("zip"), F.from_json("v", CACHE_ENTRY).alias("e")).where(F.col("zip").isNotNull())
     return parsed.select("zip", "e.street", "e.neighbourhood", "e.city", "e.state", F.col("e.lat").try_cast("double").alias("lat"), F.col("e.lon").try_cast("double").alias("lon"), "e.source", (F.lower("e.failed") == "true").alias("failed"))
 
 

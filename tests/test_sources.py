@@ -34,7 +34,7 @@ def test_jsonl_skips_bad_lines(spark, tmp_path):
 def test_zip_reference_and_cache(spark, tmp_path):
     ref = spark.createDataFrame([("04000000", "Rua Teste", "Moema", "Sao Paulo", "SP", "POINT(-46.6 -23.5)", 1), ("4000-000", "Other", None, None, None, None, 2), ("x", None, None, None, None, None, 3)], "cep string, logradouro string, localidade string, nome_municipio string, sigla_uf string, centroide string, o int")
     assert [tuple(r) for r in scans.zip_reference(ref, "o").collect()] == [("04000000", "Rua Teste", "Moema", "Sao Paulo", "SP", -23.5, -46.6)]
-    (tmp_path / "cache.json").write_text(json.dumps({"04000-000": {"street": "a", "lat": "1.5", "failed": False}, "1": 3, "bad": {"street": "b"}, "05000000": {"failed": True}}))
+    (tmp_path / "cache.json").write_text(json.dumps({"04000-000": {"street": "a", "lat": "1.5", "failed": False}, "1": 3, "bad": {"street": "b"}, "05000000": {"failed": True}}, indent=2))
     got = {r.zip: (r.street, r.lat, r.failed) for r in scans.zip_cache(spark, str(tmp_path / "cache.json")).collect()}
     assert got == {"04000000": ("a", 1.5, False), "05000000": (None, None, True)}
     (tmp_path / "broken.json").write_text("{")
