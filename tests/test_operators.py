@@ -3,11 +3,12 @@ import itertools
 import math
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from terralume.operators import enrich, incremental, latest, quality, resolve
 from terralume.operators.history import changed_leaves, version_history
-from terralume.operators.proximity import locate_in_regions, pairs_within
+from terralume.operators.proximity import decompose, locate_in_regions, pairs_within
 from terralume.plans import normalize, snapshot
 
 
@@ -156,7 +157,8 @@ def test_pairs_within_against_all_pairs(spark):
     usable = [p for p in dict.fromkeys(points) if p[1] is not None and p[1] == p[1] and abs(p[1]) <= 90 and (p[1] or p[2])]
     expected = sorted((a[0], b[0]) for a, b in itertools.combinations(sorted(usable), 2) if haversine(a[1:], b[1:]) <= 150)
     assert len(expected) > 500
-    assert sorted((a, b) for a, b, _ in pairs_within(df, "id", "lat", "lon", 150.0).collect()) == expected
+    for most_points in (20_000, 7):  # crowded cells are shared out, which finds the same
+        assert sorted((a, b) for a, b, _ in pairs_within(df, "id", "lat", "lon", 150.0, most_points).collect()) == expected
     assert pairs_within(df.limit(0), "id", "lat", "lon", 150.0).count() == 0
 
 
@@ -174,5 +176,16 @@ def test_regions_against_ray_casting(spark):
 
     regions = spark.createDataFrame([(n, [{"x": x, "y": y} for x, y in r]) for n, r in rings.items()], "region string, ring array<struct<x:double,y:double>>")
     df = spark.createDataFrame([*points, (999, None, 1.0)], "id bigint, x double, y double")
-    got = rows(locate_in_regions(df, "id", "x", "y", regions, "region", "ring"))
-    assert got == sorted(((i, n) for i, x, y in points for n, r in rings.items() if inside(x, y, r)), key=repr)
+    want = sorted(((i, n) for i, x, y in points for n, r in rings.items() if inside(x, y, r)), key=repr)
+    for slab, most_points in ((0.5, 20_000), (0.13, 5), (40.0, 50)):
+        assert rows(locate_in_regions(df, "id", "x", "y", regions, "region", "ring", slab, most_points)) == want
+    far = (1 << 62) + 1
+    big = spark.createDataFrame([(far, 0.1, 0.1)], "id bigint, x double, y double")
+    assert rows(locate_in_regions(big, "id", "x", "y", regions, "region", "ring")) == [(far, "square"), (far, "star")]
+    assert locate_in_regions(df, "id", "x", "y", regions.limit(0), "region", "ring").count() == 0
+
+
+def test_decomposition_covers_the_polygon():
+    u = [(0, 0), (5, 0), (5, 3), (4, 3), (4, 1), (1, 1), (1, 3), (0, 3)]  # a polygon with two arms
+    rows_ = decompose(np.array([x for x, _ in u], float), np.array([y for _, y in u], float))
+    assert len(rows_) == 3 and sum((r[1] - r[0]) * ((r[4] - r[2]) + (r[5] - r[3])) / 2 for r in rows_) == 9.0
