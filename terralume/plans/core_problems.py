@@ -13,7 +13,7 @@ from terralume.operators.proximity import locate_in_regions, pairs_within, usabl
 
 def _history(spark: SparkSession, directory: str) -> DataFrame:
     seen = spark.read.parquet(f"{directory}/listings_unificados.parquet").where(F.col("property_id").rlike(r"\S")).withColumn("source", source_name(F.col("source")))
-    return version_history(seen, ["source", "business_type", "property_id"], "last_seen_at", "price", "updated_at", "row_id", F.col("price") > 0, F.date_trunc("week", "last_seen_at"))
+    return version_history(seen, ["source", "business_type", "property_id"], "last_seen_at", "price", "updated_at", "row_id", F.col("price") > 0, F.date_trunc("week", "at"))
 
 
 def p5_found(spark: SparkSession, directory: str) -> DataFrame:

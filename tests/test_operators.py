@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from terralume.operators import enrich, incremental, latest, quality, resolve
-from terralume.operators.history import changed_leaves, version_history
+from terralume.operators.history import VersionStore, changed_leaves, tree_depth, version_history
 from terralume.operators.proximity import decompose, locate_in_regions, pairs_within
 from terralume.plans import normalize, snapshot
 
@@ -137,9 +137,35 @@ def test_history_against_loop(spark):
     assert version_history(df.limit(0), ["k"], "at", "price", "written", "n", F.col("price") > 0, F.date_trunc("week", "at")).count() == 0
 
 
+def test_leaves_grow_with_keys():
+    assert [tree_depth(n) for n in (0, 100, 1000, 100_000, 10**9)] == [1, 1, 2, 4, 7]
+
+
+def test_version_store_against_a_dictionary(spark, tmp_path):
+    rng = random.Random(6)
+    store = VersionStore(spark, str(tmp_path / "s"), ["a", "b"], "price", depth=2)
+    last, want = {}, []
+    prices = {(f"k{i}", None if i % 7 == 0 else "x"): i for i in range(120)}
+    for day in range(1, 5):
+        for k in rng.sample(sorted(prices, key=repr), 3 if day > 1 else 0):
+            prices[k] += 1
+        there = {k: v for k, v in prices.items() if rng.random() > (0.02 if day > 1 else 0)}
+        at = datetime.datetime(2026, 1, day)
+        began = {k: v for k, v in there.items() if last.get(k) != v}
+        want += [(k[0], k[1] or "", str(v), at) for k, v in began.items()]
+        last |= there
+        df = spark.createDataFrame([(*k, v) for k, v in there.items()] + [("gone", "x", None)], "a string, b string, price bigint")
+        for _ in range(2 if day == 3 else 1):  # a run that is done again changes nothing
+            counts = store.append(df, day, F.lit(at))
+        assert counts["versions"] == len(began) and (day == 1 or counts["differing"] < counts["leaves"] / 2)
+    assert rows(store.versions().drop("valid_to")) == sorted(want, key=repr)
+    assert store.versions().where("valid_to is null").count() == 120
+    assert VersionStore(spark, str(tmp_path / "none"), ["a"], "price", 1).versions().count() == 0
+
+
 def test_changed_leaves(spark):
     df = spark.createDataFrame([(0, i, i * 7, i * 7 + (i in (5, 4000))) for i in range(0, 4096, 5)] + [(0, 4000, 1, 2)], "g int, leaf bigint, before bigint, after bigint").groupBy("g", "leaf").agg(F.bit_xor("before").alias("before"), F.bit_xor("after").alias("after"))
-    assert {r.leaf for r in changed_leaves(df, ["g"], "leaf").collect()} == {5, 4000}
+    assert {r.leaf for r in changed_leaves(df, ["g"], "leaf", 3).collect()} == {5, 4000}
 
 
 def haversine(a, b):
