@@ -12,8 +12,8 @@ from terralume.functions.lineage import cut
 
 #: Children of a node of the tree, and keys that a leaf bucket should hold.
 FANOUT, KEYS_PER_LEAF = 16, 8
-#: Parts that a period is cut into where a key changed in it.
-SLICES = 64
+#: Sightings of a key that are put in order at a time: a period with more, in which the key changed, is cut into slices of its time.
+MOST_SIGHTINGS = 1000
 
 
 def tree_depth(keys: int, fanout: int = FANOUT, per_leaf: int = KEYS_PER_LEAF) -> int:
@@ -50,10 +50,11 @@ def _sightings(df: DataFrame, key: list[str], at: str, value: str, written: str,
 
 
 def _summary(df: DataFrame, by: list[str]) -> DataFrame:
-    return df.groupBy(*by).agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.max(F.struct("at", "value")).alias("end")).select(*by, "lo", "hi", F.col("end.value").alias("last"))
+    ends = [F.min(F.struct("at", "value")).alias("begin"), F.max(F.struct("at", "value")).alias("end")]
+    return df.groupBy(*by).agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.count("*").alias("n"), *ends).select(*by, "lo", "hi", "n", F.col("begin.at").alias("begin_at"), F.col("end.at").alias("end_at"), F.col("end.value").alias("last"))
 
 
-def version_history(df: DataFrame, key: list[str], at: str, value: str, written: str, row_id: str, usable: F.Column, snapshot: F.Column) -> DataFrame:
+def version_history(df: DataFrame, key: list[str], at: str, value: str, written: str, row_id: str, usable: F.Column, snapshot: F.Column, most_sightings: int = MOST_SIGHTINGS) -> DataFrame:
     """One row for each version of ``value``: ``key``, ``value``, ``valid_from``, ``valid_to`` (null: still valid).
 
     Rows with the same key and ``at`` are one sighting, that of the latest ``written`` (ties: the larger
@@ -61,9 +62,9 @@ def version_history(df: DataFrame, key: list[str], at: str, value: str, written:
 
     ``snapshot`` cuts time into periods (an expression over ``at``). For each period and key the state before it (the last value seen
     earlier, however long ago) stands against the values seen in it; the key buckets of the two are compared as Merkle trees, and only
-    periods of keys in leaf buckets that differ are looked into. There each period is cut into ``SLICES`` of its time, and only slices
-    in which something changed are put in order and compared sighting by sighting. So no task sorts more than a slice of one
-    key, and windows over a key or period hold summaries. Null key parts are empty text; rows with a null ``at`` take no part;
+    periods of keys in leaf buckets that differ are looked into. There a period with more than ``most_sightings`` of a key is cut into
+    slices of its time, and only slices in which something changed are put in order and compared sighting by sighting. So no task
+    sorts more than a slice of one key, and windows over a key or period hold summaries. Null key parts are empty text; rows with a null ``at`` take no part;
     repeated rows change nothing. An empty table gives an empty table.
     """
     by_period = [*key, "period"]
@@ -75,14 +76,13 @@ def version_history(df: DataFrame, key: list[str], at: str, value: str, written:
     leaves = cut(merkle_leaves(hashed.withColumn("leaf", leaf), ["period"], "leaf", "h_before", "h_after"))
     touched = hashed.withColumn("leaf", leaf).join(changed_leaves(leaves, ["period"], "leaf", depth), ["period", "leaf"], "left_semi")
     # a leaf holds some keys that stayed as they were
-    moved = cut(touched.where("h_before <> h_after").select(*by_period, "before"))
-    opened = sightings.join(moved.select(*by_period), by_period, "left_semi")
-    bounds = opened.groupBy("period").agg(F.min("at").alias("_from"), F.max("at").alias("_to"))
+    moved = cut(touched.where("h_before <> h_after").select(*by_period, "before", "n", "begin_at", "end_at"))
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    width = F.floor((micros("_to") - micros("_from")) / SLICES) + 1
-    sliced = cut(opened.join(F.broadcast(bounds), "period").withColumn("slice", F.floor((micros("at") - micros("_from")) / width)).select(*by_period, "slice", "at", "value"))
+    slices = F.ceil(F.col("n") / most_sightings)
+    place = F.when(slices > 1, F.floor((micros("at") - micros("begin_at")) * slices / (micros("end_at") - micros("begin_at") + 1))).otherwise(F.lit(0).cast("bigint"))
+    sliced = cut(sightings.join(moved, by_period).withColumn("slice", place).select(*by_period, "slice", "at", "value"))
     by_slice = [*by_period, "slice"]
-    parts = _summary(sliced, by_slice).join(moved, by_period).withColumn("earlier", F.coalesce(F.lag("last").over(Window.partitionBy(*by_period).orderBy("slice")), F.col("before")))
+    parts = _summary(sliced, by_slice).select(*by_slice, "lo", "hi", "last").join(moved.select(*by_period, "before"), by_period).withColumn("earlier", F.coalesce(F.lag("last").over(Window.partitionBy(*by_period).orderBy("slice")), F.col("before")))
     stirred = parts.where("earlier is null or lo <> hi or lo <> earlier").select(*by_slice, "earlier")
     in_slice = Window.partitionBy(*by_slice).orderBy("at")
     compared = sliced.join(stirred, by_slice).withColumn("previous", F.coalesce(F.lag("value").over(in_slice), F.col("earlier")))

@@ -123,7 +123,6 @@ def test_history_against_loop(spark):
     rng = random.Random(3)
     data = [(n, rng.choice(["a", "b", None]), datetime.datetime(2026, 1, 1) + datetime.timedelta(hours=rng.randint(0, 900)), rng.choice([100, 100, 200, 0, None]), datetime.datetime(2026, 3, 1) + datetime.timedelta(hours=rng.randint(0, 9))) for n in range(400)]
     df = spark.createDataFrame(data + data[:20], "n bigint, k string, at timestamp_ntz, price bigint, written timestamp_ntz")
-    got = version_history(df, ["k"], "at", "price", "written", "n", F.col("price") > 0, F.date_trunc("week", "at"))
     expected = []
     for k in ("a", "b", None):
         best = {}
@@ -133,7 +132,8 @@ def test_history_against_loop(spark):
         seen = [(at, p) for at, (_, p) in sorted(best.items()) if p]
         starts = [x for i, x in enumerate(seen) if not i or seen[i - 1][1] != x[1]]
         expected += [(k or "", p, at, starts[i + 1][0] if i + 1 < len(starts) else None) for i, (at, p) in enumerate(starts)]
-    assert rows(got) == sorted(expected, key=repr)
+    for most in (1000, 9, 1):  # crowded periods are sliced, which finds the same
+        assert rows(version_history(df, ["k"], "at", "price", "written", "n", F.col("price") > 0, F.date_trunc("week", "at"), most)) == sorted(expected, key=repr)
     assert version_history(df.limit(0), ["k"], "at", "price", "written", "n", F.col("price") > 0, F.date_trunc("week", "at")).count() == 0
 
 
