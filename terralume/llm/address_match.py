@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from terralume.functions.lineage import cut
 from terralume.llm.addresses import _TITLE_OF, TITLES, parse
 
-#: Bands of two rows each: names that share half of their shingles are missed once in a hundred.
-BANDS, ROWS = 16, 2
+#: Bands of two rows of the street's name and one of the town's: spellings that share two thirds of either are missed once in a hundred.
+BANDS, ROWS = 20, 2
+#: Bands by which addresses that name no town meet the others: fewer, of more rows, as their buckets reach over all towns.
+OPEN_BANDS, OPEN_ROWS = 6, 3
 Q = 3
 #: Costs of the alignment, and the most that one building's spellings may cost.
 GAP_OPEN, GAP_MORE, TITLE_GAP, MOST_COST = 1.0, 0.6, 0.2, 0.8
@@ -27,7 +29,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_SEEDS = _mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * _WORDS_64)
+_SEEDS = _mix(np.arange(1, BANDS * (ROWS + 1) + OPEN_BANDS * OPEN_ROWS + 1, dtype=np.uint64) * _WORDS_64)
 
 
 def stable_hash(text: str) -> int:
@@ -47,16 +49,32 @@ def _token_minima(token: str) -> np.ndarray:
     return _mix(hashes[:, None] ^ _SEEDS[None, :]).min(axis=0)
 
 
-def band_keys(name: tuple[str, ...], number: str) -> np.ndarray:
-    """One key for each band; the house number, which must agree, is part of it."""
-    low = np.minimum.reduce([_token_minima(t) for t in name]).reshape(BANDS, ROWS)
-    base = np.uint64(stable_hash(number)) + np.arange(BANDS, dtype=np.uint64)
+@lru_cache(100_000)
+def _minima(text: str) -> np.ndarray:
+    return np.minimum.reduce([_token_minima(t) for t in text.split()])
+
+
+def _fold(base: np.ndarray, low: np.ndarray) -> np.ndarray:
     key = _mix(base * _WORDS_64)
-    for r in range(ROWS):
+    for r in range(low.shape[1]):
         key = _mix(key ^ low[:, r])
     return key.view(np.int64)
 
 
+def band_keys(name: tuple[str, ...], number: str, town: str) -> np.ndarray:
+    """One key for each band: minima of the name and of the town, and the house number, which must agree."""
+    low, of_town = _minima(" ".join(name)), _minima(town)
+    n = BANDS * ROWS
+    both = np.concatenate([low[:n].reshape(BANDS, ROWS), of_town[n : n + BANDS, None]], axis=1)
+    return _fold(np.uint64(stable_hash(number)) + np.arange(BANDS, dtype=np.uint64), both)
+
+
+def open_keys(name: tuple[str, ...], number: str) -> np.ndarray:
+    """Keys that hold no town."""
+    low = _minima(" ".join(name))[BANDS * (ROWS + 1) :].reshape(OPEN_BANDS, OPEN_ROWS)
+    return _fold(np.uint64(stable_hash(number)) + np.arange(1000, 1000 + OPEN_BANDS, dtype=np.uint64), low)
+
+
 @lru_cache(400_000)
 def edits(a: str, b: str, most: int = 4) -> int:
     """Edit distance in which two neighbouring letters that change places count once; ``most`` + 1 if above."""
@@ -186,22 +204,37 @@ def parse_rows(df: DataFrame, row_id: str, street: str, address: str, neighbourh
 
 
 def candidate_pairs(forms: DataFrame) -> DataFrame:
-    """``(a, b)``, each once: forms that share a band. ``forms`` has ``form``, ``name``, ``number``.
+    """``(a, b)``, each once: forms that share a band. ``forms`` has ``form``, ``name``, ``number``, ``town``.
 
-    Rows are not in here: a bucket holds the distinct spellings of like street names with one house number, and copies of a
-    building, however many, are one form.
+    Rows are not in here: a bucket holds the distinct spellings of like street names with one house number in like towns, and copies of
+    a building, however many, are one form. A form without a town meets all forms of like names and its number. Buckets are
+    joined, not gathered, so a crowded one can be split.
     """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            if len(frame):
-                keys = np.stack([band_keys(tuple(n.split()), h) for n, h in zip(frame["name"], frame["number"], strict=True)])
-                yield pd.DataFrame({"key": keys.ravel(), "form": np.repeat(frame["form"].to_numpy(), BANDS)})
+    def banded(rows: DataFrame, keys: Callable[[str, str, str], np.ndarray], each: int) -> DataFrame:
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                if len(frame):
+                    found = np.stack([keys(*x) for x in zip(frame["name"], frame["number"], frame["town"], strict=True)])
+                    yield pd.DataFrame({"key": found.ravel(), "form": np.repeat(frame["form"].to_numpy(), each)})
+
+        return rows.select("form", "name", "number", "town").mapInPandas(run, "key bigint, form bigint")
+
+    def pairs(left: DataFrame, right: DataFrame, once: bool) -> DataFrame:
+        a, b = left.alias("a"), right.alias("b")
+        other = F.col("a.form") < F.col("b.form") if once else F.col("a.form") != F.col("b.form")
+        return a.join(b, (F.col("a.key") == F.col("b.key")) & other).select(F.least("a.form", "b.form").alias("a"), F.greatest("a.form", "b.form").alias("b"))
 
-    banded = forms.select("form", "name", "number").mapInPandas(run, "key bigint, form bigint")
-    crowded = banded.groupBy("key").agg(F.collect_list("form").alias("forms")).where(F.size("forms") > 1)
-    one = crowded.select(F.col("forms"), F.explode("forms").alias("a"))
-    return one.select("a", F.explode(F.filter("forms", lambda b: b > F.col("a"))).alias("b")).dropDuplicates()
+    placed, lost = forms.where("town <> ''"), forms.where("town = ''")
+    known = banded(placed, lambda n, h, t: band_keys(tuple(n.split()), h, t), BANDS)
+    without = lambda n, h, t: open_keys(tuple(n.split()), h)
+    found = pairs(known, known, True)
+    if not lost.isEmpty():
+        # of the others only keys that such a form has go on
+        asking = cut(banded(lost, without, OPEN_BANDS))
+        asked = banded(placed, without, OPEN_BANDS).join(asking.select("key").dropDuplicates(), "key", "left_semi")
+        found = found.unionByName(pairs(asking, asking, True)).unionByName(pairs(asking, asked, False))
+    return found.dropDuplicates()
 
 
 def verify(pairs: DataFrame, forms: DataFrame) -> DataFrame:
@@ -222,7 +255,7 @@ def same_addresses(df: DataFrame, row_id: str, street: str, address: str, neighb
     """``(<row_id>_a, <row_id>_b)``, ``a < b``: rows that both name a house number and denote one building, and differ as written.
 
     Rows are taken apart into kind and name of the street, number, unit and town; equal parts make one form. Forms are
-    paired by MinHash bands over the tokens and q-grams of the name, salted with the number, and verified by affine-gap
+    paired by MinHash bands over the tokens and q-grams of the name and of the town, salted with the number, and verified by affine-gap
     token alignment with abbreviation dictionaries in its costs. Pairs of rows are written out only at the end, from pairs
     of forms; copies written alike are none. Rows without number or name of a street, or without id, take no part; a
     repeated id counts once; nulls and blanks are parts not given. An empty table gives an empty table.

@@ -45,6 +45,27 @@ def shortened(token: Column, most: Column) -> Column:
     return F.array_distinct(F.when(most >= 2, F.concat(F.array(token), one, two)).when(most >= 1, F.concat(F.array(token), one)).otherwise(F.array(token)))
 
 
+#: Up to so many letters all shortenings of a word are written out; longer words are found by a piece that no edit touched.
+SHORT = 40
+#: Edits that any two words may be apart.
+MOST_EDITS = 3
+
+
+def _long_pairs(tokens: DataFrame, words: DataFrame) -> DataFrame:
+    """``(token, word)`` of words of more than ``SHORT`` letters and tokens that may be within ``MOST_EDITS`` of them.
+
+    Of ``MOST_EDITS`` + 1 pieces of a word one is untouched, and stands in the token at its place or at most ``MOST_EDITS`` beside it.
+    """
+    cut_at = lambda n, i: F.floor(n * i / (MOST_EDITS + 1))
+    number, around = F.sequence(F.lit(0), F.lit(MOST_EDITS)), F.sequence(F.lit(-MOST_EDITS), F.lit(MOST_EDITS))
+    n = F.length("word")
+    pieces = words.where(n > SHORT).withColumn("i", F.explode(number)).select("word", n.alias("n"), "i", F.substr("word", cut_at(n, F.col("i")).cast("int") + 1, (cut_at(n, F.col("i") + 1) - cut_at(n, F.col("i"))).cast("int")).alias("piece"))
+    sized = tokens.where(F.length("token") > SHORT - MOST_EDITS).withColumn("n", F.explode(F.transform(around, lambda d: F.length("token") + d))).withColumn("i", F.explode(number)).withColumn("shift", F.explode(around))
+    begin = cut_at(F.col("n"), F.col("i")).cast("int") + 1 + F.col("shift")
+    there = sized.withColumn("begin", begin).where("begin >= 1").select("token", "n", "i", F.substr("token", F.col("begin"), (cut_at(F.col("n"), F.col("i") + 1) - cut_at(F.col("n"), F.col("i"))).cast("int")).alias("piece")).dropDuplicates()
+    return there.join(pieces, ["n", "i", "piece"]).select("token", "word").dropDuplicates()
+
+
 def edits_allowed(token: Column) -> Column:
     return F.when(F.length(token) >= 6, 2).when(F.length(token) >= 4, 1).otherwise(0)
 
@@ -56,12 +77,11 @@ def repair_tokens(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
     places count twice; joined on shortened forms, never crossed),
     by abbreviation, or as a cut-off beginning.
     """
-    left = tokens.where(F.length("token").between(1, 40))
-    words = vocabulary.where(F.length("word").between(1, 40))
-    typed = left.withColumn("form", F.explode(shortened(F.col("token"), edits_allowed(F.col("token")))))
-    known = words.withColumn("form", F.explode(shortened(F.col("word"), edits_allowed(F.col("word")))))
+    left, words = tokens.where(F.length("token") > 0), vocabulary.where(F.length("word") > 0)
+    typed = left.where(F.length("token") <= SHORT + MOST_EDITS).withColumn("form", F.explode(shortened(F.col("token"), edits_allowed(F.col("token")))))
+    known = words.where(F.length("word") <= SHORT).withColumn("form", F.explode(shortened(F.col("word"), edits_allowed(F.col("word")))))
     # estimates don't see how much longer exploded sides are, so neither may be broadcast on their word
-    close = typed.hint("merge").join(known.hint("merge"), "form").select("token", "word").dropDuplicates()
+    close = typed.hint("merge").join(known.hint("merge"), "form").select("token", "word").unionByName(_long_pairs(left, words)).dropDuplicates()
     distance = F.levenshtein("token", "word")
     longer = F.greatest(F.length("token"), F.length("word"))
     allowed = F.greatest(edits_allowed(F.col("token")), edits_allowed(F.col("word"))) + (longer >= 8).cast("int")
@@ -77,18 +97,21 @@ def repair_tokens(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
 
 def map_to_reference(values: DataFrame, value: str, state: str, reference: DataFrame, name: str, entry_id: str, entry_state: str, least_score: float = LEAST_SCORE) -> DataFrame:
-    """For each distinct ``(value, state)`` of ``values``: ``entry_id`` (empty text: no such entry) and ``score``.
+    """For each distinct ``(value, state)`` of ``values``: ``entry_id`` (empty text: no such entry), ``score``, and ``namesakes``: the ids of all
+    entries of that name where the state doesn't tell which of several it is, else null.
 
     Distinct tokens are repaired against the reference vocabulary; repaired tokens and whole entries are compared by
     soft TF-IDF: the cosine of weights by rarity in the reference, each shared word counted by its likeness. An entry
     is a candidate for a value only if its rarest word is among the value's repaired tokens. Of entries with one name
-    the one in the value's state wins (state column, else the state written behind the town), else the smallest id. Ties of
+    the one in the value's state wins (state column, else the state written behind the town), else the smallest id stands for the
+    ``namesakes``, which ``settle_namesakes`` tells apart by more of the row. Ties of
     scores go to more words in full, then to the smaller name.
 
     Blank values are left out, placeholders (``n/d``) stand for no entry. A null state is unknown. Reference rows without id are passed over, repeated rows count once. An
     empty reference leaves every value unmatched.
     """
     asked = values.select(F.col(value).alias("value"), F.col(state).alias("state")).where(F.col("value").rlike(r"\S")).dropDuplicates()
+    asked = cut(asked.withColumn("uf", F.coalesce(state_code(F.col("state")), state_in_town(F.col("value")))))
     entries = reference.select(F.col(entry_id).alias("id"), F.col(name).alias("name"), state_code(F.col(entry_state)).alias("uf")).where(F.col("id").rlike(r"\S") & F.col("name").rlike(r"\S")).dropDuplicates()
     named = entries.select(clean_town(F.col("name")).alias("entry")).dropDuplicates()
     listed = named.withColumn("words", F.split("entry", " "))
@@ -116,11 +139,34 @@ def map_to_reference(values: DataFrame, value: str, state: str, reference: DataF
     by_form = forms.join(top, "form").select("value", "entry", "score")
     places = entries.withColumn("entry", clean_town(F.col("name"))).groupBy("entry").agg(F.sort_array(F.collect_set(F.struct("id", "uf"))).alias("places"))
     resolved = by_form.join(places, "entry")
-    uf = F.coalesce(state_code(F.col("state")), state_in_town(F.col("value")))
-    joined = asked.join(resolved, "value", "left").withColumn("uf", uf)
+    joined = asked.join(resolved, "value", "left")
     there = F.get(F.filter("places", lambda p: p.uf == F.col("uf")), F.lit(0)).id
     chosen = F.coalesce(there, F.get("places", F.lit(0)).id, F.lit(""))
-    return joined.select(F.col("value").alias(value), F.col("state").alias(state), chosen.alias(entry_id), F.coalesce("score", F.lit(0.0)).alias("score"))
+    ids = F.array_distinct(F.transform("places", lambda p: p.id))
+    undecided = F.when(there.isNull() & (F.size(ids) > 1), ids)
+    return joined.select(F.col("value").alias(value), F.col("state").alias(state), chosen.alias(entry_id), F.coalesce("score", F.lit(0.0)).alias("score"), undecided.alias("namesakes"))
+
+
+#: What tells namesakes apart beside the state, and what it counts: a point within so many degrees, the beginning of the zip code, the neighbourhood.
+NEAR_DEGREES, NEAR_COUNTS, ZIP_DIGITS, ZIP_COUNTS, QUARTER_COUNTS = 3.0, 3, 3, 2, 1
+
+
+def settle_namesakes(rows: DataFrame, row_id: str, evidence: DataFrame) -> DataFrame:
+    """``row_id, id, settled``: of each row's ``namesakes`` (ids) the one that most evidence speaks for; not ``settled`` if none does.
+
+    ``rows`` and ``evidence`` (rows of the reference by ``id``) have ``zip``, ``quarter``, ``lat``, ``lon``, each of which may be null. Ties go to the nearer
+    entry, then to the smaller id. Rows are never put together: each meets the few entries of its name.
+    """
+    fold = lambda c: F.nullif(F.regexp_replace(plain(F.col(c)), r"[^a-z0-9]+", " "), F.lit(""))
+    start = lambda c: F.when(F.length(F.regexp_replace(c, r"\D", "")) == 8, F.left(F.regexp_replace(c, r"\D", ""), F.lit(ZIP_DIGITS)))
+    known = evidence.select("id", start("zip").alias("zips"), fold("quarter").alias("quarters"), "lat", "lon").groupBy("id").agg(F.collect_set("zips").alias("zips"), F.collect_set("quarters").alias("quarters"), F.avg("lat").alias("e_lat"), F.avg("lon").alias("e_lon"))
+    asked = rows.select(F.col(row_id).alias("row"), start("zip").alias("zip"), fold("quarter").alias("quarter"), "lat", "lon", F.explode("namesakes").alias("id"))
+    far = F.sqrt((F.col("lat") - F.col("e_lat")) ** 2 + (F.col("lon") - F.col("e_lon")) ** 2)
+    hit = lambda ok, n: F.when(F.coalesce(ok, F.lit(False)), n).otherwise(0)
+    count = hit(far < NEAR_DEGREES, NEAR_COUNTS) + hit(F.array_contains("zips", F.col("zip")), ZIP_COUNTS) + hit(F.array_contains("quarters", F.col("quarter")), QUARTER_COUNTS)
+    judged = asked.join(known, "id", "left").withColumn("count", count)
+    best = judged.groupBy("row").agg(F.min(F.struct((-F.col("count")).alias("c"), F.coalesce(far, F.lit(1e9)).alias("far"), "id")).alias("b"))
+    return best.select(F.col("row").alias(row_id), F.col("b.id").alias("id"), (F.col("b.c") < 0).alias("settled"))
 
 
 def exact_names(reference: DataFrame, name: str, entry_id: str) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terralume.functions.instants import parse_instant
+from terralume.functions.lineage import cut
+from terralume.functions.scalars import point
 from terralume.functions.usable import PLACEHOLDER_WORDS, source_name, usable_amount, usable_count, usable_text, usable_zip
 from terralume.llm import address_match, byte_bpe, canonical_values, entity_match, mixing, shared_spans, survivorship
 
@@ -83,24 +85,38 @@ def p3_confidence(spark: SparkSession, directory: str) -> DataFrame:
 
 
 # -- 4: mapping typed towns to the reference list -----------------------------
-def _mapped_towns(spark: SparkSession, directory: str) -> tuple[DataFrame, DataFrame]:
+def _typed_towns(spark: SparkSession, directory: str) -> tuple[DataFrame, DataFrame]:
+    """(distinct typed towns that no one town's name is, with their rows counted; what they map to)."""
     towns = _read(spark, directory, "cepaberto")
     unique = canonical_values.exact_names(towns, "nome_municipio", "id_municipio").select(F.col("nome_municipio").alias("city"))
-    rows = _read(spark, directory, "listings").select("listing_id", "city", "state").where(F.col("city").rlike(r"\S")).join(unique, "city", "left_anti")
-    return rows, canonical_values.map_to_reference(rows, "city", "state", towns, "nome_municipio", "id_municipio", "sigla_uf")
+    typed = _read(spark, directory, "listings").groupBy("city", "state").agg(F.count("*").alias("n_rows"))
+    typed = cut(typed.where(F.col("city").rlike(r"\S")).join(unique, "city", "left_anti"))
+    return typed, cut(canonical_values.map_to_reference(typed, "city", "state", towns, "nome_municipio", "id_municipio", "sigla_uf"))
 
 
 def p4_found(spark: SparkSession, directory: str) -> DataFrame:
-    rows, mapped = _mapped_towns(spark, directory)
-    same = (rows["city"] == mapped["city"]) & rows["state"].eqNullSafe(mapped["state"])
-    return rows.join(mapped, same).select(rows["listing_id"], mapped["id_municipio"])
+    mapped = _typed_towns(spark, directory)[1].withColumnsRenamed({"city": "c", "state": "s"})
+    fields = [F.col("zip_code").alias("zip"), F.col("neighbourhood").alias("quarter"), F.when(_usable("lat") & ~F.isnan("lat"), F.col("lat")).alias("lat"), F.when(_usable("lon") & ~F.isnan("lon"), F.col("lon")).alias("lon")]
+    rows = _read(spark, directory, "listings").select("listing_id", "city", "state", *fields)
+    both = rows.join(mapped, (rows["city"] == mapped["c"]) & rows["state"].eqNullSafe(mapped["s"]))
+    lat, lon = point(F.col("centroide"))
+    evidence = _read(spark, directory, "cepaberto").select(F.col("id_municipio").alias("id"), F.col("cep").alias("zip"), F.col("localidade").alias("quarter"), lat.alias("lat"), lon.alias("lon"))
+    settled = canonical_values.settle_namesakes(both.where("namesakes is not null"), "listing_id", evidence)
+    return both.where("namesakes is null").select("listing_id", "id_municipio").unionByName(settled.select("listing_id", F.col("id").alias("id_municipio")))
 
 
 def p4_unmatched(spark: SparkSession, directory: str) -> DataFrame:
     """Typed values that are no town of the reference list, with their rows."""
-    rows, mapped = _mapped_towns(spark, directory)
+    typed, mapped = _typed_towns(spark, directory)
     none = mapped.where("id_municipio = ''").select("city").dropDuplicates()
-    return rows.join(none, "city", "left_semi").groupBy("city").agg(F.count("*").alias("n_rows"))
+    return typed.join(none, "city", "left_semi").groupBy("city").agg(F.sum("n_rows").alias("n_rows"))
+
+
+def p4_ambiguous(spark: SparkSession, directory: str) -> DataFrame:
+    """Typed values that several towns bear where the state doesn't tell which, with those towns and the rows."""
+    typed, mapped = _typed_towns(spark, directory)
+    open_ = mapped.where("namesakes is not null").select("city", "state", "namesakes")
+    return typed.join(open_.withColumnsRenamed({"city": "c", "state": "s"}), (F.col("city") == F.col("c")) & F.col("state").eqNullSafe(F.col("s"))).select("city", "state", "n_rows", F.array_join("namesakes", "|").alias("namesakes"))
 
 
 # -- 7: encoding of the whole corpus ------------------------------------------
@@ -138,7 +154,7 @@ def queries() -> dict[str, Query]:
         "p1_found": p1_found, "p1_records": p1_records,
         "p2_found": p2_found,
         "p3_found": p3_found, "p3_confidence": p3_confidence,
-        "p4_found": p4_found, "p4_unmatched": p4_unmatched,
+        "p4_found": p4_found, "p4_unmatched": p4_unmatched, "p4_ambiguous": p4_ambiguous,
         "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares,
         "p9_found": p9_found, "p9_portions": p9_portions,
     }

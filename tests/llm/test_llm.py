@@ -56,9 +56,12 @@ def test_bands_against_all_pairs():
     words = ["".join(rng.choice("abcdefgilmnoprstuv") for _ in range(8)) for _ in range(60)]
     names = [tuple(rng.sample(words, 3)) for _ in range(60)]
     typos = [tuple(w[:3] + w[4:] if i == 1 else w for i, w in enumerate(n)) for n in names]
-    found = sum(bool(set(address_match.band_keys(a, "7")) & set(address_match.band_keys(b, "7"))) for a, b in zip(names, typos, strict=True))
-    assert found >= 0.95 * len(names)
-    assert not set(address_match.band_keys(names[0], "7")) & set(address_match.band_keys(names[0], "8"))
+    found = sum(bool(set(address_match.band_keys(a, "7", "ratuzinho")) & set(address_match.band_keys(b, "7", "ratuzino"))) for a, b in zip(names, typos, strict=True))
+    assert found >= 0.9 * len(names)
+    lost = sum(bool(set(address_match.open_keys(a, "7")) & set(address_match.open_keys(b, "7"))) for a, b in zip(names, typos, strict=True))
+    assert lost >= 0.85 * len(names)
+    one = set(address_match.band_keys(names[0], "7", "ratuzinho"))
+    assert not one & set(address_match.band_keys(names[0], "8", "ratuzinho")) and not one & set(address_match.band_keys(names[0], "7", "fevonema"))
 
 
 def test_alignment_costs():
@@ -134,10 +137,35 @@ def test_towns(spark):
     df = spark.createDataFrame([*typed, ("  ", None), (None, "SP")], "city string, state string").withColumn("id", F.lit("clash"))
     got = {(r.city, r.state): r.id for r in canonical_values.map_to_reference(df, "city", "state", ref, "name", "id", "uf").collect()}
     assert got == typed
+    two = canonical_values.map_to_reference(df, "city", "state", ref, "name", "id", "uf").where("namesakes is not null").collect()
+    assert not two  # the state tells the two of that name apart
     empty = canonical_values.map_to_reference(df, "city", "state", ref.limit(0), "name", "id", "uf")
     assert {r.id for r in empty.collect()} == {""} and empty.count() == len(typed)
 
 
+def test_long_words_are_repaired_too(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(n)) for n in (38, 40, 41, 44, 60, 90)]
+
+    def edited(w, n):
+        for _ in range(n):
+            i = rng.randrange(len(w))
+            w = rng.choice([w[:i] + w[i + 1 :], w[:i] + "z" + w[i:], w[:i] + "z" + w[i + 1 :]])
+        return w
+
+    tokens = {edited(w, n): w for w in words for n in (0, 1, 2) for _ in range(4)}
+    got = canonical_values.repair_tokens(spark.createDataFrame([(t,) for t in tokens], "token string"), spark.createDataFrame([(w,) for w in words], "word string"))
+    assert tokens.items() <= {(r.token, r.word) for r in got.collect()}
+
+
+def test_namesakes_by_evidence(spark):
+    evidence = spark.createDataFrame([("1", "01000-000", "Vila Acaí", -23.0, -46.0), ("2", "89000000", None, -5.0, -40.0), ("2", None, "Centro", None, None)], "id string, zip string, quarter string, lat double, lon double")
+    data = [(1, "890-11 000", None, None, None), (2, None, "vila acai", None, None), (3, None, None, -5.5, -40.1), (4, None, None, None, None), (5, "01000111", "Centro", None, None)]
+    rows_ = spark.createDataFrame(data, "n bigint, zip string, quarter string, lat double, lon double").withColumn("namesakes", F.array(F.lit("2"), F.lit("1")))
+    assert rows(canonical_values.settle_namesakes(rows_, "n", evidence)) == [(1, "2", True), (2, "1", True), (3, "2", True), (4, "1", False), (5, "1", True)]
+
+
+
 # -- encoding --------------------------------------------------------------------------------------
 PIECES = ["a", "b", "aa", "é", "the", "ing", " ", "\n", "​", "中", "🏠", "0", "12", "_", "<|endoftext|>", "'s", "\xa0", "\t", "ção", "…"]
 
