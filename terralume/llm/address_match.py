@@ -14,9 +14,9 @@ from terralume.functions.lineage import cut
 from terralume.llm.addresses import _TITLE_OF, TITLES, parse
 
 #: Bands of two rows of the street's name and one of the town's: spellings that share two thirds of either are missed once in a hundred.
-BANDS, ROWS = 20, 2
-#: Bands by which addresses that name no town meet the others: fewer, of more rows, as their buckets reach over all towns.
-OPEN_BANDS, OPEN_ROWS = 6, 3
+BANDS, ROWS = 16, 2
+#: Bands by which addresses that name no town meet the others.
+OPEN_BANDS, OPEN_ROWS = 10, 2
 Q = 3
 #: Costs of the alignment, and the most that one building's spellings may cost.
 GAP_OPEN, GAP_MORE, TITLE_GAP, MOST_COST = 1.0, 0.6, 0.2, 0.8
@@ -41,17 +41,17 @@ def stable_hash(text: str) -> int:
 
 
 @lru_cache(100_000)
-def _token_minima(token: str) -> np.ndarray:
+def _token_minima(token: str, q: int = Q) -> np.ndarray:
     """MinHash values of a token's shingles: itself and its q-grams."""
     padded = f"^{token}$"
-    grams = {token, *(padded[i : i + Q] for i in range(max(1, len(padded) - Q + 1)))}
+    grams = {token, *(padded[i : i + q] for i in range(max(1, len(padded) - q + 1)))}
     hashes = np.array([stable_hash(g) for g in grams], np.uint64)
     return _mix(hashes[:, None] ^ _SEEDS[None, :]).min(axis=0)
 
 
 @lru_cache(100_000)
-def _minima(text: str) -> np.ndarray:
-    return np.minimum.reduce([_token_minima(t) for t in text.split()])
+def _minima(text: str, q: int = Q) -> np.ndarray:
+    return np.minimum.reduce([_token_minima(t, q) for t in text.split()])
 
 
 def _fold(base: np.ndarray, low: np.ndarray) -> np.ndarray:
@@ -63,7 +63,7 @@ def _fold(base: np.ndarray, low: np.ndarray) -> np.ndarray:
 
 def band_keys(name: tuple[str, ...], number: str, town: str) -> np.ndarray:
     """One key for each band: minima of the name and of the town, and the house number, which must agree."""
-    low, of_town = _minima(" ".join(name)), _minima(town)
+    low, of_town = _minima(" ".join(name)), _minima(town, 2)  # towns of one word have few shingles: shorter ones bear more typos
     n = BANDS * ROWS
     both = np.concatenate([low[:n].reshape(BANDS, ROWS), of_town[n : n + BANDS, None]], axis=1)
     return _fold(np.uint64(stable_hash(number)) + np.arange(BANDS, dtype=np.uint64), both)
