@@ -48,6 +48,6 @@ def usable_amount(value: Column) -> Column:
     return F.coalesce((value > 1) & ~s.rlike(r"^(\d)\1{4,}$") & ~counted, F.lit(False))
 
 
-def usable_count(value: Column, most: int = 50) -> Column:
-    """Whether a count of rooms or places is real: zero is, negative numbers and 99 or 999 are not."""
-    return F.coalesce((value >= 0) & (value <= most), F.lit(False))
+def usable_count(value: Column) -> Column:
+    """Whether a count of rooms, places or floors is real: zero is, negative numbers and nines over and over (99, 999) are not."""
+    return F.coalesce((value >= 0) & ~value.cast("bigint").cast("string").rlike(r"^9{2,}$"), F.lit(False))

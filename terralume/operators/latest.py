@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terralume.functions.lineage import cut
+
 
 def top_per_key(df: DataFrame, key: Sequence[str | Column], order: Sequence[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows of each key in a total ``order``; null key parts are values like others.
@@ -18,6 +20,19 @@ def top_per_key(df: DataFrame, key: Sequence[str | Column], order: Sequence[Colu
     return ranked.where(F.col("_rank") <= n).drop("_rank")
 
 
+def numbered(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """Rows with their place, from 1, in a total ``order``: sorted by ranges and counted range by range, so no task sees all rows.
+
+    What is sent to all tasks is one row for each range.
+    """
+    sorted_rows = cut(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33)
+    sizes = sorted_rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    place = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return sorted_rows.withColumn("_part", part).join(F.broadcast(before), "_part").withColumn(name, place).drop("_at", "_part", "_before")
+
+
 def latest_per_key(df: DataFrame, key: Sequence[str], at: str, ordinal: str, text_key: bool = True) -> DataFrame:
     """The newest row: ``at`` descending, nulls last, ties to the later ``ordinal``. In text keys null equals empty."""
     parts = [F.coalesce(F.col(k), F.lit("")) if text_key else F.col(k) for k in key]

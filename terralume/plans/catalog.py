@@ -208,10 +208,8 @@ def delta_counts(spark, directory):
 
 @query(_DELTA + " select url, lastmod, row_number() over (order by coalesce(lastmod::varchar,'') desc, url) place from cl where change in ('new','updated')")
 def delta_sort(spark, directory):
-    from pyspark.sql import Window
-
-    rows = incremental.delta(_classified(spark, directory))
-    return rows.select("url", "lastmod", F.row_number().over(Window.orderBy(*incremental.delta_order("lastmod", "url"))).cast("bigint").alias("place"))
+    rows = incremental.delta(_classified(spark, directory)).select("url", "lastmod")
+    return latest.numbered(rows, incremental.delta_order("lastmod", "url"), "place")
 
 
 @query("""with p as (select l_partkey, arg_max(l_quantity, l_orderkey * 10 + l_linenumber) previous from lineitem where l_shipdate < timestamp '1996-01-01' group by 1),

@@ -377,11 +377,14 @@ def posted_order(spark, directory):
     """Listings by the instant written on them, newest first, unreadable ones last."""
     plain = F.col("scraped_at").rlike(r"^\s*\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|\+00:00)\s*$")
     rows = _t(spark, directory, "listings").select("listing_id", F.when(plain, F.col("scraped_at")).alias("at"))
-    # a rank from counts of instants: no task sees all rows
+    # rows of one instant share a place: the number of rows before them, from sums over the distinct instants
     each = rows.withColumn("t", parse_instant(F.col("at"))).groupBy("t").agg(F.count("*").alias("n"))
-    ranked = each.orderBy(cards.posted_order("t_text") if "t_text" in each.columns else F.col("t").desc_nulls_last())
-    before = ranked.withColumn("place", 1 + F.coalesce(F.sum("n").over(Window.orderBy(F.col("t").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return rows.withColumn("t", parse_instant(F.col("at"))).join(before.select(F.col("t").alias("u"), "place"), F.col("t").eqNullSafe(F.col("u"))).select("listing_id", "place")
+    placed = latest.numbered(each, [F.col("t").desc_nulls_last()], "i")
+    before = placed.withColumn("chunk", F.expr("i div 1024"))
+    chunks = before.groupBy("chunk").agg(F.sum("n").alias("c")).withColumn("ahead", F.coalesce(F.sum("c").over(Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("c")
+    inside = F.coalesce(F.sum("n").over(Window.partitionBy("chunk").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranks = before.withColumn("inside", inside).join(chunks, "chunk").select(F.col("t").alias("u"), (1 + F.col("ahead") + F.col("inside")).alias("place"))
+    return rows.withColumn("t", parse_instant(F.col("at"))).join(ranks, F.col("t").eqNullSafe(F.col("u"))).select("listing_id", "place")
 
 
 # -- enrichment ----------------------------------------------------------------------------

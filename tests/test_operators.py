@@ -24,6 +24,12 @@ def test_latest_ties_nulls_and_idempotence(spark):
     assert latest.latest_per_key(df.limit(0), ["k"], "at", "o").count() == 0
 
 
+def test_numbered(spark):
+    df = spark.range(500).select((F.col("id") * 37 % 500).alias("x")).repartition(7)
+    assert [(r.x, r.n) for r in latest.numbered(df, [F.col("x").desc()], "n").orderBy("n").collect()] == [(499 - i, i + 1) for i in range(500)]
+    assert latest.numbered(df.limit(0), [F.col("x").desc()], "n").count() == 0
+
+
 def test_islands(spark):
     df = spark.createDataFrame([("f", i, s) for i, s in enumerate([1, 1, 0, 1, 1, 1, 1])], "flow string, page int, s int")
     runs = latest.islands(df, "flow", "page", F.col("s") == 1)

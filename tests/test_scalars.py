@@ -39,7 +39,7 @@ CASES = [
     (usable_text, ["Casa", "n/d", " N.A. ", "*****", "xxx", "", None, "não informado"], [True, False, False, False, False, False, False, False]),
     (usable_zip, ["04567-000", "00000-000", "sem cep", None], [True, False, False, False]),
     (lambda c: usable_amount(c.cast("bigint")), ["1800", "0", "-1", "1", "999999999", "123456789", None], [True, False, False, False, False, False, False]),
-    (lambda c: usable_count(c.cast("bigint")), ["0", "3", "-1", "99", None], [True, True, False, False, False]),
+    (lambda c: usable_count(c.cast("bigint")), ["0", "3", "-1", "99", "999", "120", None], [True, True, False, False, False, True, False]),
     (source_name, [" OLX ", "", "\t", None], ["olx", None, None, None]),
     (state_code, ["Estado: São Paulo", "BR-SP", "sp ", "Sao Paulo (SP)", "Mato Grosso", "xx", None], ["SP", "SP", "SP", "SP", "MT", None, None]),
     (plain, ["SÃ£o JosÃ©", "São José", "Óbidos"], ["sao jose", "sao jose", "obidos"]),
