@@ -34,11 +34,11 @@ def _usable(field: str) -> F.Column:
     if field in ("parking_spots", "bedrooms", "bathrooms", "suites"):
         return usable_count(c)
     if field in ("area_m2", "total_area_m2"):
-        return (c > 0) & (c < 1e6)
+        return c > 0
     if field in ("lat", "lon"):
         return (F.abs("lat") <= 90) & (F.abs("lon") <= 180) & ((F.col("lat") != 0) | (F.col("lon") != 0))
     if field in ("floor", "furnished", "accepts_pets"):
-        return c.isNotNull() if field != "floor" else usable_count(c, 200)
+        return c.isNotNull() if field != "floor" else usable_count(c)
     return usable_text(c)
 
 
@@ -119,14 +119,19 @@ def p4_ambiguous(spark: SparkSession, directory: str) -> DataFrame:
     return typed.join(open_.withColumnsRenamed({"city": "c", "state": "s"}), (F.col("city") == F.col("c")) & F.col("state").eqNullSafe(F.col("s"))).select("city", "state", "n_rows", F.array_join("namesakes", "|").alias("namesakes"))
 
 
+def _vocabulary(spark: SparkSession) -> str:
+    """The vocabulary file, on every worker; the session's ``terralume.vocabulary`` names another one."""
+    return spark.conf.get("terralume.vocabulary", byte_bpe.DEFAULT_VOCABULARY)
+
+
 # -- 7: encoding of the whole corpus ------------------------------------------
 def p7_ids(spark: SparkSession, directory: str) -> DataFrame:
-    return byte_bpe.encode_column(_read(spark, directory, "documents"), "doc_id", "text")
+    return byte_bpe.encode_column(_read(spark, directory, "documents"), "doc_id", "text", vocabulary=_vocabulary(spark))
 
 
 # -- 8: mixing sources --------------------------------------------------------
 def _mixed(spark: SparkSession, directory: str) -> tuple[DataFrame, DataFrame]:
-    sized = byte_bpe.count_tokens(_read(spark, directory, "documents").select("doc_id", "source", "text"), "text")
+    sized = byte_bpe.count_tokens(_read(spark, directory, "documents").select("doc_id", "source", "text"), "text", vocabulary=_vocabulary(spark))
     return mixing.mix(sized, _read(spark, directory, "mix_targets"), "doc_id", "source", "n_tokens")
 
 
@@ -166,28 +171,53 @@ _BARE = r"regexp_replace(strip_accents(lower({c})), '^[^\p{{L}}\p{{N}}]+|[^\p{{L
 _AMOUNT = r"coalesce({c} > 1 and length(replace({c}::varchar, left({c}::varchar, 1), '')) > 0 and {c}::varchar not in ('12345','123456','1234567','12345678','123456789','1234567890'), false) or coalesce({c} > 1 and {c} < 10000 and length(replace({c}::varchar, left({c}::varchar, 1), '')) = 0, false)"
 
 
+_NINES = "coalesce({c} >= 0 and not regexp_full_match({c}::varchar, '9{{2,}}'), false)"
+
+
 def _usable_sql(field: str) -> str:
     if field == "zip_code":
         return r"coalesce(regexp_full_match(regexp_replace(zip_code, '[\s.\-]', '', 'g'), '\d{8}') and length(replace(regexp_replace(zip_code, '[\s.\-]', '', 'g'), left(zip_code, 1), '')) > 0, false)"
-    if field == "parking_spots":
-        return "coalesce(parking_spots between 0 and 50, false)"
+    if field in ("parking_spots", "bedrooms", "bathrooms", "suites", "floor"):
+        return _NINES.format(c=field)
     if field.endswith("_brl"):
         return _AMOUNT.format(c=field)
+    if field in ("area_m2", "total_area_m2"):
+        return f"coalesce({field} > 0 or isnan({field}), false)"
+    if field in ("lat", "lon"):
+        return "coalesce(abs(lat) <= 90 and abs(lon) <= 180 and (lat <> 0 or lon <> 0), false)"
+    if field in ("furnished", "accepts_pets"):
+        return f"({field} is not null)"
     return _TEXT.format(w=_BARE.format(c=field))
 
 
-def oracle_sql() -> dict[str, str]:
-    """SQL for what SQL can say: the survivors. The rest is tested against brute force, a public library or held-out cases."""
-    flags = ", ".join(f"({_usable_sql(f)}) as u_{f}" for f in FOUND_FIELDS)
-    many = " + ".join(f"u_{f}::int" for f in FOUND_FIELDS)
-    picked = " union all ".join(f"select canonical_property_id, '{f}' field_name, first(listing_id order by ts desc nulls last, rk, many desc, listing_id) listing_id from ranked where u_{f} group by 1" for f in FOUND_FIELDS)
-    instant = r"""case when regexp_full_match(s, '\d{1,11}') then cast(s as bigint) * 1000000
+_INSTANT = r"""case when regexp_full_match(s, '\d{1,11}') then cast(s as bigint) * 1000000
         when regexp_matches(s, '^\d{2}/') then epoch_us(try_strptime(s, '%d/%m/%Y %H:%M:%S')) + 10800000000
         when regexp_matches(s, '(Z|[+-]\d{2}:\d{2})$') and regexp_matches(s, '^\d{4}-\d{2}-\d{2}T') then epoch_us(try_cast(left(regexp_replace(s, '(Z|[+-]\d{2}:\d{2})$', ''), 26) as timestamp)) - case when s like '%Z' then 0 else (case when regexp_matches(s, '-\d{2}:\d{2}$') then -1 else 1 end) * (cast(left(right(s, 5), 2) as bigint) * 60 + cast(right(s, 2) as bigint)) * 60000000 end
         when regexp_matches(s, '^\d{4}-\d{2}-\d{2}[ T]') then epoch_us(try_cast(s as timestamp)) + 10800000000 end"""
-    found = f"""
-        with l as (select *, trim(scraped_at) s, nullif(lower(trim(source)), '') src, {flags} from listings where canonical_property_id is not null),
-        timed as (select l.*, {instant} ts, {many} many, case when src is null then 99 else coalesce(t.trust_rank, 98) end rk from l left join source_trust t on l.src = lower(trim(t.source))),
-        ranked as (select * from (select *, count(*) over (partition by canonical_property_id) n from timed) where n > 1)
-        {picked}"""
-    return {"p1_found": found}
+
+
+def _ranked_sql(fields: list[str], least: int) -> str:
+    """Rows in the order of trust, with a flag for each usable field, of groups of at least ``least`` rows."""
+    flags = ", ".join(f"({_usable_sql(f)}) as u_{f}" for f in fields)
+    many = " + ".join(f"u_{f}::int" for f in fields)
+    return f"""l as (select *, trim(scraped_at) s, nullif(lower(trim(source)), '') src, {flags} from listings where canonical_property_id is not null),
+        timed as (select l.*, {_INSTANT} ts, {many} many, case when src is null then 99 else coalesce(t.trust_rank, 98) end rk from l left join source_trust t on l.src = lower(trim(t.source))),
+        ranked as (select * from (select *, count(*) over (partition by canonical_property_id) n from timed) where n >= {least})"""
+
+
+def oracle_sql() -> dict[str, str]:
+    """SQL for what SQL can say: survivors and shared spans. The rest is tested against brute force, a public library or held-out cases."""
+    order = "order by ts desc nulls last, rk, many desc, listing_id"
+    picked = " union all ".join(f"select canonical_property_id, '{f}' field_name, first(listing_id {order}) listing_id from ranked where u_{f} group by 1" for f in FOUND_FIELDS)
+    every = FOUND_FIELDS + RECORD_FIELDS
+    values = ", ".join(f"first({f} {order}) filter (where u_{f}) as {f}" for f in every)
+    spans = """w as (select doc_id, i, substring(text, i::bigint + 1, 200) t from (select distinct doc_id, text from documents where length(text) >= 200), lateral (select unnest(range(0, length(text) - 199)) i)),
+        hit as (select w.doc_id, w.i from w join (select t from w group by t having count(distinct doc_id) > 1) g on w.t = g.t group by 1, 2),
+        r as (select doc_id, i, case when i <= max(i) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding) + 200 then 0 else 1 end fresh from hit),
+        u as (select doc_id, i, sum(fresh) over (partition by doc_id order by i) run from r), found as (select doc_id, min(i) span_start, max(i) + 200 span_end from u group by doc_id, run)"""
+    return {
+        "p1_found": f"with {_ranked_sql(FOUND_FIELDS, 2)} {picked}",
+        "p1_records": f"with {_ranked_sql(every, 1)} select canonical_property_id, count(*) as listings_count, {values} from ranked group by 1",
+        "p9_found": f"with {spans} select doc_id, span_start::bigint span_start, span_end::bigint span_end from found",
+        "p9_portions": f"with {spans}, c as (select doc_id, sum(span_end - span_start) shared_chars, count(*) n_spans from found group by 1) select d.doc_id, coalesce(length(text), 0) n_chars, coalesce(shared_chars, 0)::bigint shared_chars, coalesce(n_spans, 0) n_spans, case when coalesce(length(text), 0) > 0 then round(coalesce(shared_chars, 0) / length(text), 6) else 0.0::double end shared_share from documents d left join c on d.doc_id = c.doc_id",
+    }
