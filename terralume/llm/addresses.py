@@ -86,6 +86,11 @@ def quarter_key(text: str | None) -> str:
     return " ".join(words[1:]) if len(words) > 1 and words[0] == "bairro" else joined
 
 
+@lru_cache(100_000)
+def _plain(text: str | None) -> str:
+    return " ".join(_WORDS.findall(fold(text)))
+
+
 def _street_words(segment: str) -> tuple[str, tuple[str, ...]]:
     words = _WORDS.findall(segment)
     kind = ""
@@ -130,7 +135,7 @@ def _take_apart(text: str, drop: set[str]) -> tuple[str, tuple[str, ...], str, s
 def parse(street: str | None, address: str | None, neighbourhood: str | None, city: str | None) -> Address:
     """What a row says of its address; empty text and ``()`` for what it doesn't say."""
     quarter, town = quarter_key(neighbourhood), town_key(city)
-    drop = {x for x in (quarter, town, " ".join(_WORDS.findall(fold(neighbourhood))), " ".join(_WORDS.findall(fold(city)))) if x}
+    drop = {x for x in (quarter, town, _plain(neighbourhood), _plain(city)) if x}
     kind, name, number, unit, others = _take_apart(street, drop) if street and street.strip() else ("", (), "", "", [])
     if address and address.strip():
         kind2, name2, number2, unit2, others2 = _take_apart(address, drop)
