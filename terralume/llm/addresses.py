@@ -114,10 +114,11 @@ def _take_apart(text: str, drop: set[str]) -> tuple[str, tuple[str, ...], str, s
     for seg in _SPLIT.split(s):
         at = s.find(seg, at)
         plain = " ".join(_WORDS.findall(seg))
-        if not plain or plain in drop or plain in _STATE_WORDS or town_key(seg) in drop or quarter_key(seg) in drop:
-            continue
         first = plain.split(" ", 1)[0]
-        if best is None and first in _KIND_OF and " " in plain:
+        street = first in _KIND_OF and " " in plain  # such a segment is no other spelling of a town or neighbourhood
+        if not plain or plain in drop or plain in _STATE_WORDS or (not street and (town_key(seg) in drop or quarter_key(seg) in drop)):
+            continue
+        if best is None and street:
             best = seg
         elif mark >= 0 and at < mark:
             before = seg
