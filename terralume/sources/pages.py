@@ -7,6 +7,7 @@ import json
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -91,14 +92,22 @@ def walk(value: Json) -> Iterator[dict]:
             stack.extend(reversed(top))
 
 
+@lru_cache(4096)
+def _steps(path: str) -> tuple[tuple[str, str | None, str | None], ...]:
+    """Key, and what an element of the list there must bear, of each step of a path."""
+    found = [re.fullmatch(r"([\w-]*)(?:\[(\w+)=([^\]]+)\])?", step) for step in path.split(".")]
+    return tuple((m[1], m[2], m[3].lower() if m[3] else None) for m in found)
+
+
 def dig(value: Json, path: str) -> Json:
     """``a.b``, ``a[type=x].b``: the element of a list whose key has a value; None where the path ends early."""
-    for step in path.split("."):
-        m = re.fullmatch(r"([\w-]*)(?:\[(\w+)=([^\]]+)\])?", step)
-        if m[1]:
-            value = value.get(m[1]) if isinstance(value, dict) else None
-        if m[2]:
-            value = next((x for x in value if isinstance(x, dict) and str(x.get(m[2])).strip().lower() == m[3].lower()), None) if isinstance(value, list) else None
+    for key, field_name, wanted in _steps(path):
+        if key:
+            value = value.get(key) if isinstance(value, dict) else None
+        if field_name:
+            value = next((x for x in value if isinstance(x, dict) and str(x.get(field_name)).strip().lower() == wanted), None) if isinstance(value, list) else None
+        if value is None:
+            return None
     return value
 
 
